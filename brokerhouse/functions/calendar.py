@@ -32,4 +32,4 @@ def next_calendar_day(day: Column) -> Column:
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:
-    return moment + F.make_interval(secs=seconds)
+    return F.timestamp_add("SECOND", seconds, moment)

@@ -17,7 +17,7 @@ from brokerhouse.functions.identifiers import (
     whole_number,
 )
 from brokerhouse.functions.money import average_cost, brokerage_fee, number, to_money, transaction_tax
-from brokerhouse.operators.numbering import number_rows
+from brokerhouse.operators.numbering import number_rows_within
 from brokerhouse.schemas import HOLDINGS_FACT_COLUMNS
 
 # Types for amounts that arrive as text; their product still fits 38 digits.
@@ -89,7 +89,7 @@ def next_day_settlements(trades: DataFrame) -> DataFrame:
 
 def daily_sequence(rows: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Number the rows of each business date from 1."""
-    return number_rows(rows, order_by, name, group_by=["business_date"])
+    return number_rows_within(rows, ["business_date"], order_by, name)
 
 
 def end_of_day_holdings(

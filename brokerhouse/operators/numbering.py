@@ -15,50 +15,60 @@ from brokerhouse.sources.work import materialize
 _PARTITION_BITS = 33
 
 
-def number_rows(
-    df: DataFrame,
-    order_by: Sequence[str],
-    name: str,
-    group_by: Sequence[str] = (),
-    after: int = 0,
-) -> DataFrame:
-    """Add `name`: after+1, after+2, ... in `order_by` order, restarting in each `group_by` group.
-
-    The rows are sorted over all partitions and written once with their position.
-    What one task sorts is a range of rows, never a group, so a day holding most rows
-    is spread like any other. The only other shuffle is over one row per partition
-    and group (at most partitions + groups rows), which says how many rows come before.
-
-    Rows equal in `order_by` stay in one range; add a stable column that tells copies
-    apart when they may be many.
+def _placed(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """The rows sorted over all partitions and written once, each with its place.
+
+    What one task sorts is a range of rows. Rows equal in `order_by` stay in one range;
+    add a stable column that tells copies apart where they may be many.
     """
-    group_by = list(group_by)
-    placed = materialize(
-        df.orderBy(*group_by, *order_by).withColumn("_position", F.monotonically_increasing_id())
-    ).withColumn("_partition", F.shiftright("_position", _PARTITION_BITS))
+    ordered = df.orderBy(*order_by).withColumn("_position", F.monotonically_increasing_id())
+    return materialize(ordered).withColumn("_partition", F.shiftright("_position", _PARTITION_BITS))
 
-    spans = placed.groupBy(*group_by, "_partition").agg(
+
+def _spans(placed: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """Per group and partition: the first place and the number of rows."""
+    return placed.groupBy(*group_by, "_partition").agg(
         F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
+
+
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str, after: int = 0) -> DataFrame:
+    """Add `name`: after+1, after+2, ... in `order_by` order.
+
+    Only one row per partition goes through the driver: how many rows each holds.
+    """
+    placed = _placed(df, order_by)
+    shifts, before = [], after
+    for span in _spans(placed).orderBy("_partition").collect():
+        shifts.append((span["_partition"], before + 1 - span["_first"]))
+        before += span["_rows"]
+    shift = df.sparkSession.createDataFrame(shifts, "_partition bigint, _shift bigint")
+    # As many rows as partitions, so a broadcast is always small.
+    return placed.join(F.broadcast(shift), "_partition").select(
+        *df.columns, (F.col("_position") + F.col("_shift")).alias(name)
+    )
+
+
+def number_rows_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+    """Add `name`: 1, 2, ... in `order_by` order, restarting in each `group_by` group.
+
+    A group holding most rows is spread over many ranges like any other. The table of
+    spans has at most one row per partition and one per group; it stays distributed.
+    """
+    group_by = list(group_by)
+    placed = _placed(df, [*group_by, *order_by])
     earlier = Window.partitionBy(*group_by).orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spans.select(
+    shifts = _spans(placed, group_by).select(
         *[F.col(c).alias(f"_group_{c}") for c in group_by],
         F.col("_partition").alias("_span"),
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1 + after).alias("_shift"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift"),
     )
     same_span = reduce(
         and_,
         [F.col(c).eqNullSafe(F.col(f"_group_{c}")) for c in group_by],
         F.col("_partition") == F.col("_span"),
     )
-    return placed.join(offsets, same_span).select(
-        *df.columns, (F.col("_position") + F.col("_shift")).cast("bigint").alias(name)
-    )
-
-
-def with_copy_number(df: DataFrame, name: str = "_copy") -> DataFrame:
-    """Tell copies apart by where they lie; `df` must come straight from files, so that reruns agree."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return placed.join(shifts, same_span).select(*df.columns, (F.col("_position") + F.col("_shift")).alias(name))
 
 
 def highest(df: DataFrame, key: str) -> int:

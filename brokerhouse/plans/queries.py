@@ -11,12 +11,12 @@ from brokerhouse.functions.calendar import run_date
 from brokerhouse.operators import dimensions as dims
 from brokerhouse.operators import lifecycle, quality
 from brokerhouse.operators.facts import replace_day
-from brokerhouse.operators.numbering import with_copy_number
 from brokerhouse.operators.scd2 import apply_scd2
 from brokerhouse.plans import analytics, rulesets
 from brokerhouse.schemas import ACCOUNT, ADVISOR, CUSTOMER, DIMENSIONS, FACTS, History
 from brokerhouse.sources import tables
 from brokerhouse.sources.tables import FIRST_DAY, SECOND_DAY
+from brokerhouse.sources.work import materialize, no_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,10 +25,10 @@ RELOADED_DAY = "1998-06-15"
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], DIMENSIONS[name])
+    return no_rows(spark, DIMENSIONS[name])
 
 
-# Snowflake dimensions, first load.
+# Snowflake dimensions, first load. A child is loaded against its written parents.
 
 
 def dim_country(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,13 +37,14 @@ def dim_country(spark: SparkSession, folder: str) -> DataFrame:
 
 def dim_state(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.customers(spark, folder)
-    return dims.new_states(empty(spark, "dim_state"), customers, dim_country(spark, folder))
+    countries = materialize(dim_country(spark, folder))
+    return dims.new_states(empty(spark, "dim_state"), customers, countries)
 
 
 def dim_city(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.customers(spark, folder)
-    countries = dim_country(spark, folder)
-    states = dims.new_states(empty(spark, "dim_state"), customers, countries)
+    countries = materialize(dim_country(spark, folder))
+    states = materialize(dims.new_states(empty(spark, "dim_state"), customers, countries))
     return dims.new_cities(empty(spark, "dim_city"), customers, countries, states)
 
 
@@ -52,9 +53,11 @@ def dim_sector(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_company(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.new_companies(
-        empty(spark, "dim_company"), tables.instruments(spark, folder), dim_sector(spark, folder)
-    )
+    return _companies(spark, folder, materialize(dim_sector(spark, folder)))
+
+
+def _companies(spark: SparkSession, folder: str, sectors: DataFrame) -> DataFrame:
+    return dims.new_companies(empty(spark, "dim_company"), tables.instruments(spark, folder), sectors)
 
 
 def dim_exchange(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,11 +66,10 @@ def dim_exchange(spark: SparkSession, folder: str) -> DataFrame:
 
 def _instrument_branch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     staged = tables.instruments(spark, folder)
-    sectors = dim_sector(spark, folder)
-    companies = dims.new_companies(empty(spark, "dim_company"), staged, sectors)
-    instruments = dims.new_instruments(
-        empty(spark, "dim_instrument"), staged, sectors, companies, dim_exchange(spark, folder)
-    )
+    sectors = materialize(dim_sector(spark, folder))
+    companies = materialize(_companies(spark, folder, sectors))
+    exchanges = materialize(dim_exchange(spark, folder))
+    instruments = dims.new_instruments(empty(spark, "dim_instrument"), staged, sectors, companies, exchanges)
     return instruments, companies, sectors
 
 
@@ -84,7 +86,7 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_days(spark: SparkSession, folder: str, spec: History, feed: Callable[..., DataFrame]) -> DataFrame:
-    first = apply_scd2(empty(spark, spec.table), feed(spark, folder, FIRST_DAY), spec, FIRST_DAY)
+    first = materialize(apply_scd2(empty(spark, spec.table), feed(spark, folder, FIRST_DAY), spec, FIRST_DAY))
     return apply_scd2(first, feed(spark, folder, SECOND_DAY), spec, SECOND_DAY)
 
 
@@ -126,13 +128,8 @@ def settlements_t1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trade_sequence(spark: SparkSession, folder: str) -> DataFrame:
-    # The copy number is taken straight from the scan, before anything is shuffled.
-    rows = with_copy_number(
-        tables.trades(spark, folder, with_account=False).select(
-            "business_date", "trade_timestamp", "trade_id", "instrument_id", "executed_quantity", "executed_price"
-        )
-    )
     order = ["trade_timestamp", "trade_id", "instrument_id", "executed_quantity", "executed_price", "_copy"]
+    rows = tables.trades(spark, folder, with_account=False, copy_number="_copy").select("business_date", *order)
     return lifecycle.daily_sequence(rows, order, "day_sequence").drop("_copy", "trade_timestamp")
 
 

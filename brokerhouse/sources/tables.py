@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from brokerhouse.functions.calendar import plus_seconds
 from brokerhouse.functions.identifiers import TRADE_ID, numbered_id
 from brokerhouse.functions.money import to_money
+from brokerhouse.sources.work import with_copy_number
 
 FIRST_DAY = "2026-04-19"
 SECOND_DAY = "2026-04-20"
@@ -21,6 +22,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal out rows that come in fewer splits than there are cores; big tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -124,7 +131,7 @@ def market_prices(spark: SparkSession, folder: str) -> DataFrame:
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("o_orderkey")
     status = F.when(F.col("o_orderstatus") == "F", "COMPLETED").when(F.col("o_orderstatus") == "O", "CANCELLED")
-    return table(spark, folder, "orders").select(
+    return _spread(table(spark, folder, "orders")).select(
         _text("o_orderkey").alias("order_id"),
         F.to_date("o_orderdate").alias("business_date"),
         _text("o_custkey").alias("account_id"),
@@ -139,9 +146,18 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def trades(spark: SparkSession, folder: str, with_account: bool = True) -> DataFrame:
-    """Line items as trades. The orders are read only when the account is asked for."""
+def trades(
+    spark: SparkSession, folder: str, with_account: bool = True, copy_number: str | None = None
+) -> DataFrame:
+    """Line items as trades. The orders are read only when the account is asked for.
+
+    `copy_number` names a column that tells equal trades apart, taken straight from the files.
+    """
     items = table(spark, folder, "lineitem")
+    extra = []
+    if copy_number is not None:
+        items, extra = with_copy_number(items, copy_number), [copy_number]
+    items = _spread(items)
     price = to_money(F.col("l_extendedprice"))
     number = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     account = []
@@ -161,6 +177,7 @@ def trades(spark: SparkSession, folder: str, with_account: bool = True) -> DataF
         price.alias("executed_price"),
         to_money(price * F.col("l_discount").cast("decimal(4,2)")).alias("brokerage_fee"),
         to_money(price * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
+        *extra,
     )
 
 

@@ -10,6 +10,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SETTING = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
@@ -36,3 +38,13 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows, known as such to the optimizer, which then drops joins against it."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
+def with_copy_number(df: DataFrame, name: str = "_copy") -> DataFrame:
+    """Tell copies apart by where they lie; `df` must come straight from files, so that reruns agree."""
+    return df.withColumn(name, F.monotonically_increasing_id())
