@@ -142,33 +142,34 @@ def audit_rows(summary: DataFrame, business_date: str) -> DataFrame:
     )
 
 
-def transaction_metrics(orders: DataFrame, trades: DataFrame, fund_movements: DataFrame) -> DataFrame:
-    """Per business date: row counts and the fee total; a date in any of the three gets a row.
+def transaction_metrics(
+    orders: DataFrame, trades: DataFrame, fund_movements: DataFrame, business_date: str | None = None
+) -> DataFrame:
+    """Row counts and the fee total: per business date found, or of all rows for a given date.
 
-    Each table is reduced to one row per date before they meet.
+    Each table is reduced to one row per date before they meet. A given date gets its
+    row even when all three tables are empty.
     """
     fee = number(trades, "brokerage_fee", "decimal(22,6)")
-    nothing = F.lit(0).cast("bigint")
-    no_fee = F.lit(0).cast(TOTAL)
-    one = F.count(F.lit(1))
-
-    def by_date(df: DataFrame, order_count: Column, trade_count: Column, movement_count: Column, fees: Column):
-        return df.groupBy("business_date").agg(
-            order_count.alias("order_count"),
-            trade_count.alias("trade_count"),
-            movement_count.alias("fund_movement_count"),
-            fees.alias("fees"),
-        )
+    count, none = F.count(F.lit(1)), F.lit(0).cast("bigint")
+    fees, no_fees = F.coalesce(F.sum(fee).cast(TOTAL), F.lit(0).cast(TOTAL)), F.lit(0).cast(TOTAL)
+    names = ("order_count", "trade_count", "fund_movement_count", "fees")
+
+    def reduced(df: DataFrame, **measures: Column) -> DataFrame:
+        aggregates = [measure.alias(name) for name, measure in measures.items()]
+        if business_date is None:
+            part = df.groupBy("business_date").agg(*aggregates)
+        else:
+            part = df.agg(*aggregates).withColumn("business_date", F.lit(business_date).cast("date"))
+        rest = [(no_fees if n == "fees" else none).alias(n) for n in names if n not in measures]
+        return part.select("business_date", *measures, *rest)
 
-    none, no_fees = F.max(nothing), F.max(no_fee)
     parts = (
-        by_date(orders, one, none, none, no_fees)
-        .unionByName(by_date(trades, none, one, none, F.coalesce(F.sum(fee).cast(TOTAL), no_fee)))
-        .unionByName(by_date(fund_movements, none, none, one, no_fees))
+        reduced(orders, order_count=count)
+        .unionByName(reduced(trades, trade_count=count, fees=fees))
+        .unionByName(reduced(fund_movements, fund_movement_count=count))
     )
     return parts.groupBy("business_date").agg(
-        F.sum("order_count").alias("order_count"),
-        F.sum("trade_count").alias("trade_count"),
-        F.sum("fund_movement_count").alias("fund_movement_count"),
+        *[F.sum(n).alias(n) for n in names if n != "fees"],
         F.sum("fees").cast("double").alias("brokerage_fee_total"),
     )
