@@ -12,7 +12,7 @@ from brokerhouse.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g"
+        "tests", "local[8]", spark__sql__shuffle__partitions="3", spark__driver__memory="4g"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
