@@ -42,11 +42,15 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str, after: int =
     for span in _spans(placed).orderBy("_partition").collect():
         shifts.append((span["_partition"], before + 1 - span["_first"]))
         before += span["_rows"]
-    shift = df.sparkSession.createDataFrame(shifts, "_partition bigint, _shift bigint")
-    # As many rows as partitions, so a broadcast is always small.
-    return placed.join(F.broadcast(shift), "_partition").select(
-        *df.columns, (F.col("_position") + F.col("_shift")).alias(name)
-    )
+    number = F.col("_position") + F.col("_shift")
+    if len(shifts) <= 1:
+        only = shifts[0][1] if shifts else 0
+        numbered = placed.withColumn("_shift", F.lit(only))
+    else:
+        # As many rows as partitions, so the broadcast is always small.
+        by_partition = df.sparkSession.createDataFrame(shifts, "_partition bigint, _shift bigint")
+        numbered = placed.join(F.broadcast(by_partition), "_partition")
+    return numbered.select(*df.columns, number.cast("bigint").alias(name))
 
 
 def number_rows_within(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:

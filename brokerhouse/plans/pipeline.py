@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,9 +64,9 @@ class Places:
         return day_path(f"{self.curated.rstrip('/')}/curated", business_date, "dq", name)
 
 
-def _together(*jobs: Callable[[], None]) -> None:
+def together(*jobs: Callable[[], None]) -> None:
     """Run independent writes side by side, so small ones do not wait for each other; the first error is raised."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         for done in [pool.submit(job) for job in jobs]:
             done.result()
 
@@ -91,12 +91,8 @@ def curate(spark: SparkSession, places: Places, business_date: str) -> None:
     """Read each raw feed once and write it curated. All headers are checked before anything is written."""
     write = write_csv if places.curated_format == "csv" else write_parquet
     raw = {name: raw_feed(spark, places, business_date, name) for name in (*MASTER_FEEDS, *TRANSACTION_FEEDS)}
-    _together(
-        *[
-            lambda name=name, df=df: write(curated_rows(df, name, business_date), places.dataset(business_date, name))
-            for name, df in raw.items()
-        ]
-    )
+    rows = {name: curated_rows(df, name, business_date) for name, df in raw.items()}
+    together(*[partial(write, df, places.dataset(business_date, name)) for name, df in rows.items()])
 
 
 def curated(spark: SparkSession, places: Places, business_date: str, name: str) -> DataFrame:
@@ -136,7 +132,7 @@ def check(spark: SparkSession, places: Places, business_date: str) -> None:
         metrics = quality.transaction_metrics(*feeds, business_date=business_date)
         write_json(metrics, places.quality(business_date, "transaction_metrics"))
 
-    _together(write_results, write_metrics)
+    together(write_results, write_metrics)
 
 
 # Load.
@@ -196,11 +192,11 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         )
         add("audit_dq_results", quality.audit_rows(summary, business_date))
 
-    _together(
-        lambda: history(CUSTOMER, staged("customers_snapshot")),
-        lambda: history(ACCOUNT, staged("accounts_snapshot")),
-        lambda: history(ADVISOR, reference("advisors")),
-        *[lambda spec=spec: fact(spec) for spec in FACTS.values()],
+    together(
+        partial(history, CUSTOMER, staged("customers_snapshot")),
+        partial(history, ACCOUNT, staged("accounts_snapshot")),
+        partial(history, ADVISOR, reference("advisors")),
+        *[partial(fact, spec) for spec in FACTS.values()],
         geography,
         instruments,
         dates,

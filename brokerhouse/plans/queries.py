@@ -13,10 +13,11 @@ from brokerhouse.operators import lifecycle, quality
 from brokerhouse.operators.facts import replace_day
 from brokerhouse.operators.scd2 import apply_scd2
 from brokerhouse.plans import analytics, rulesets
+from brokerhouse.plans.landing import load_report
 from brokerhouse.schemas import ACCOUNT, ADVISOR, CUSTOMER, DIMENSIONS, FACTS, History
 from brokerhouse.sources import tables
 from brokerhouse.sources.tables import FIRST_DAY, SECOND_DAY
-from brokerhouse.sources.work import materialize, no_rows
+from brokerhouse.sources.work import no_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,7 @@ def empty(spark: SparkSession, name: str) -> DataFrame:
     return no_rows(spark, DIMENSIONS[name])
 
 
-# Snowflake dimensions, first load. A child is loaded against its written parents.
+# Snowflake dimensions, first load. Keyed rows are read from their work table, so a child costs its parents once.
 
 
 def dim_country(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,14 +38,14 @@ def dim_country(spark: SparkSession, folder: str) -> DataFrame:
 
 def dim_state(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.customers(spark, folder)
-    countries = materialize(dim_country(spark, folder))
+    countries = dim_country(spark, folder)
     return dims.new_states(empty(spark, "dim_state"), customers, countries)
 
 
 def dim_city(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.customers(spark, folder)
-    countries = materialize(dim_country(spark, folder))
-    states = materialize(dims.new_states(empty(spark, "dim_state"), customers, countries))
+    countries = dim_country(spark, folder)
+    states = dims.new_states(empty(spark, "dim_state"), customers, countries)
     return dims.new_cities(empty(spark, "dim_city"), customers, countries, states)
 
 
@@ -53,7 +54,7 @@ def dim_sector(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_company(spark: SparkSession, folder: str) -> DataFrame:
-    return _companies(spark, folder, materialize(dim_sector(spark, folder)))
+    return _companies(spark, folder, dim_sector(spark, folder))
 
 
 def _companies(spark: SparkSession, folder: str, sectors: DataFrame) -> DataFrame:
@@ -66,9 +67,9 @@ def dim_exchange(spark: SparkSession, folder: str) -> DataFrame:
 
 def _instrument_branch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     staged = tables.instruments(spark, folder)
-    sectors = materialize(dim_sector(spark, folder))
-    companies = materialize(_companies(spark, folder, sectors))
-    exchanges = materialize(dim_exchange(spark, folder))
+    sectors = dim_sector(spark, folder)
+    companies = _companies(spark, folder, sectors)
+    exchanges = dim_exchange(spark, folder)
     instruments = dims.new_instruments(empty(spark, "dim_instrument"), staged, sectors, companies, exchanges)
     return instruments, companies, sectors
 
@@ -86,7 +87,7 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _two_days(spark: SparkSession, folder: str, spec: History, feed: Callable[..., DataFrame]) -> DataFrame:
-    first = materialize(apply_scd2(empty(spark, spec.table), feed(spark, folder, FIRST_DAY), spec, FIRST_DAY))
+    first = apply_scd2(empty(spark, spec.table), feed(spark, folder, FIRST_DAY), spec, FIRST_DAY)
     return apply_scd2(first, feed(spark, folder, SECOND_DAY), spec, SECOND_DAY)
 
 
@@ -315,4 +316,5 @@ QUERIES: dict[str, Query] = {
     "pipeline_status": pipeline_status,
     "dq_audit": dq_audit,
     "transaction_metrics": transaction_metrics,
+    "daily_load_report": load_report,
 }

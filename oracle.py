@@ -327,6 +327,97 @@ def _reload(ctes: dict[str, str], rows: str, corrected: str) -> str:
     )
 
 
+# The two daily runs: buys and completed orders land on the first day, the rest on the second.
+
+LANDED_CTES = {
+    "trades": f"SELECT * REPLACE (CASE WHEN trade_side = 'BUY' THEN {FIRST_DAY} ELSE {SECOND_DAY} END AS business_date) FROM ({TRADES})",
+    "measured": MEASURES,
+    "positions": POSITIONS,
+    "holdings": HOLDINGS,
+    "customers_1": CUSTOMERS_1,
+    "customers_2": CUSTOMERS_2,
+    "customers_both": "SELECT * FROM customers_1 UNION ALL SELECT * FROM customers_2",
+    "instruments": INSTRUMENTS,
+}
+
+
+def _history_rows(first: str, second: str, key: str, tracked: list[str]) -> str:
+    """Versions after both days, without surrogate keys."""
+    differs = " OR ".join(f"a.{t} <> b.{t}" for t in tracked)
+    changed = f"EXISTS (SELECT 1 FROM ({second}) b WHERE b.{key} = a.{key} AND ({differs}))"
+    return f"""
+        SELECT a.*, CASE WHEN {changed} THEN 'N' ELSE 'Y' END AS is_current FROM ({first}) a
+        UNION ALL
+        SELECT b.*, 'Y' FROM ({second}) b LEFT JOIN ({first}) a ON a.{key} = b.{key}
+        WHERE a.{key} IS NULL OR {differs}"""
+
+
+LANDED_CTES.update(
+    {
+        "customer_versions": _history_rows(
+            CUSTOMERS_1, CUSTOMERS_2, "customer_id", ["city_name", "state_name", "country_name", "risk_band", "kyc_status"]
+        ),
+        "account_versions": _history_rows(
+            ACCOUNTS_1, ACCOUNTS_2, "account_id", ["advisor_id", "account_segment", "account_status"]
+        ),
+        "advisor_versions": _history_rows(ADVISORS_1, ADVISORS_2, "advisor_id", ["advisor_name", "region"]),
+    }
+)
+_SIZES = {
+    "dim_country": "SELECT DISTINCT country_name FROM customers_both WHERE country_name IS NOT NULL",
+    "dim_state": "SELECT DISTINCT state_name, country_name FROM customers_both WHERE state_name IS NOT NULL",
+    "dim_city": "SELECT DISTINCT city_name, state_name, country_name FROM customers_both WHERE city_name IS NOT NULL",
+    "dim_sector": "SELECT DISTINCT sector_name FROM instruments",
+    "dim_company": "SELECT DISTINCT company_name, sector_name FROM instruments",
+    "dim_exchange": "SELECT DISTINCT exchange_code FROM instruments",
+    "dim_instrument": "SELECT * FROM instruments",
+    "dim_date": "SELECT DISTINCT business_date FROM trades",
+    "dim_advisor_scd2": "SELECT * FROM advisor_versions",
+    "dim_customer_scd2": "SELECT * FROM customer_versions",
+    "dim_account_scd2": "SELECT * FROM account_versions",
+    "fact_orders": "SELECT * FROM orders",
+    "fact_trades": "SELECT * FROM trades",
+    "fact_fund_movements": "SELECT * FROM trades",
+    "fact_settlements": "SELECT * FROM trades",
+    "fact_daily_holdings": "SELECT * FROM holdings",
+}
+
+
+def _lines(measure: str, item: str, value: str, source: str) -> str:
+    return (
+        f"SELECT '{measure}' AS measure, CAST({item} AS VARCHAR) AS item, CAST({value} AS DECIMAL(38,2)) AS value {source}"
+    )
+
+
+LOAD_REPORT = _with(
+    LANDED_CTES,
+    "\nUNION ALL\n".join(
+        [
+            _lines(
+                "holdings",
+                "h.business_date || ' ' || i.sector_name",
+                "sum(market_value)",
+                "FROM holdings h JOIN instruments i USING (instrument_id) GROUP BY ALL",
+            ),
+            _lines("gross_volume", "business_date", "sum(gross_trade_amount)", "FROM measured GROUP BY ALL"),
+            _lines("orders", "business_date", "count(DISTINCT order_id)", "FROM trades GROUP BY ALL"),
+            _lines(
+                "customers",
+                "risk_band",
+                "count(DISTINCT customer_id)",
+                "FROM customer_versions WHERE is_current = 'Y' GROUP BY ALL",
+            ),
+            _lines(
+                "changed_accounts",
+                "account_segment",
+                "count(*)",
+                "FROM account_versions WHERE account_id IN (SELECT account_id FROM account_versions GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL",
+            ),
+            *[_lines("rows", f"'{name}'", "count(*)", f"FROM ({sql})") for name, sql in _SIZES.items()],
+        ]
+    ),
+)
+
 SECTOR_JOIN = """
     JOIN dim_instrument i ON i.instrument_id = f.instrument_id
     JOIN dim_company c ON c.company_key = i.company_key
@@ -442,4 +533,5 @@ ORACLE_SQL: dict[str, str] = {
                   CAST(coalesce(fees, 0) AS DOUBLE) AS brokerage_fee_total
            FROM o FULL JOIN t USING (business_date)""",
     ),
+    "daily_load_report": LOAD_REPORT,
 }
