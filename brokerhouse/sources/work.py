@@ -2,6 +2,7 @@
 
 A written table cuts lineage, survives the loss of executors and is read back by
 columns, so later stages see one fixed result however often they are recomputed.
+Each application has its own folder, which may be deleted once it has ended.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ _local_dirs: dict[str, str] = {}
 
 def work_dir(spark: SparkSession) -> str:
     """Folder for work tables: the one the cluster names, else (local mode only) a temporary one."""
+    context = spark.sparkContext
     configured = spark.conf.get(_SETTING, None)
     if configured:
-        return f"{configured.rstrip('/')}/brokerhouse"
-    context = spark.sparkContext
+        return f"{configured.rstrip('/')}/brokerhouse-{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="brokerhouse-"))
