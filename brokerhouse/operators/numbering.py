@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brokerhouse.sources.work import materialize
@@ -32,17 +32,17 @@ def _spans(placed: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str, after: int = 0) -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str, after: Column | int = 0) -> DataFrame:
     """Add `name`: after+1, after+2, ... in `order_by` order.
 
     Only one row per partition goes through the driver: how many rows each holds.
     """
     placed = _placed(df, order_by)
-    shifts, before = [], after
+    shifts, before = [], 0
     for span in _spans(placed).orderBy("_partition").collect():
         shifts.append((span["_partition"], before + 1 - span["_first"]))
         before += span["_rows"]
-    number = F.col("_position") + F.col("_shift")
+    number = F.col("_position") + F.col("_shift") + after
     if len(shifts) <= 1:
         only = shifts[0][1] if shifts else 0
         numbered = placed.withColumn("_shift", F.lit(only))
@@ -75,9 +75,9 @@ def number_rows_within(df: DataFrame, group_by: Sequence[str], order_by: Sequenc
     return placed.join(shifts, same_span).select(*df.columns, (F.col("_position") + F.col("_shift")).alias(name))
 
 
-def highest(df: DataFrame, key: str) -> int:
-    """Highest key so far, 0 for none: one number."""
-    return df.agg(F.max(key).alias("m")).first()["m"] or 0
+def highest(df: DataFrame, key: str) -> Column:
+    """Highest key so far, 0 for none, as a scalar subquery."""
+    return df.agg(F.coalesce(F.max(key), F.lit(0).cast("bigint"))).scalar()
 
 
 def assign_keys(new_rows: DataFrame, existing: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
