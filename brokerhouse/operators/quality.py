@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ class IsUnique:
     def __str__(self) -> str:
         return f'IsUnique "{self.column}"'
 
-    def failures(self, df: DataFrame) -> Column:
-        return F.count(self.column) - F.count_distinct(self.column)
+    def surplus(self, df: DataFrame) -> DataFrame:
+        """One row: how many rows go beyond the first of their value."""
+        per_value = df.select(self.column).where(F.col(self.column).isNotNull()).groupBy(self.column).count()
+        return per_value.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -82,17 +85,27 @@ def _not_true(test: Column, rule: AllowedValues | AtLeast, value: Column) -> Col
 
 
 def evaluate(df: DataFrame, rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
-    """Check one dataset against named rulesets, all in one aggregate over one scan.
+    """Check one dataset against named rulesets. Rules shared by them are counted once.
 
-    Rules shared by the rulesets are counted once. Row checks combine before the shuffle;
-    only a uniqueness rule needs the distinct keys, and repeats of a key combine before it too.
+    All row checks are one aggregate that combines before its shuffle of one row per task.
+    A uniqueness rule reads its own column once more and shuffles nothing but the distinct
+    values, repeats combined before; together they would drag every count along with every key.
     """
     distinct_rules = list(dict.fromkeys(rule for rules in rulesets.values() for rule in rules))
     slot = {rule: f"_failed_{i}" for i, rule in enumerate(distinct_rules)}
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[rule.failures(df).alias(slot[rule]) for rule in distinct_rules],
+    slots = ["_total", *slot.values()]
+    none = F.lit(0).cast("bigint")
+
+    def padded(part: DataFrame, counted: Mapping[str, Column]) -> DataFrame:
+        return part.select(*[counted.get(name, none).alias(name) for name in slots])
+
+    row_rules = [rule for rule in distinct_rules if not isinstance(rule, IsUnique)]
+    checked = df.agg(
+        F.count(F.lit(1)).alias("_total"), *[rule.failures(df).alias(slot[rule]) for rule in row_rules]
     )
+    parts = [padded(checked, {name: F.col(name) for name in ["_total", *[slot[rule] for rule in row_rules]]})]
+    parts += [padded(r.surplus(df), {slot[r]: F.col("n")}) for r in distinct_rules if isinstance(r, IsUnique)]
+    counts = reduce(DataFrame.unionByName, parts).agg(*[F.sum(name).alias(name) for name in slots])
     results = [
         F.struct(
             F.lit(dataset).alias("dataset_name"),

@@ -120,7 +120,7 @@ def check(spark: SparkSession, places: Places, business_date: str) -> None:
     def write_results() -> None:
         union = reduce(DataFrame.unionByName, [results(name) for name in CHECKED])
         path = places.quality(business_date, "results")
-        write_json(union, path)
+        write_json(union, path, by=("dataset_name",))
         written = spark.read.schema(_RESULT_COLUMNS).json(path)
         summary = quality.summarize(written.where(F.col("dataset_name").isin(*rulesets.CURATED)))
         write_json(summary, places.quality(business_date, "summary"))

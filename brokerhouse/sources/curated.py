@@ -14,8 +14,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*by).json(path)
 
 
 def write_by_day(df: DataFrame, path: str, format: str = "parquet") -> None:
