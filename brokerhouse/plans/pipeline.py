@@ -160,14 +160,13 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         add("dim_date", dims.new_dates(before.table("dim_date"), day))
 
     def geography() -> None:
-        # One pass over the snapshot; the three loads then see its few distinct places.
-        rows = materialize(staged("customers_snapshot").select("city_name", "state_name", "country_name").distinct())
+        rows = dims.distinct_places(staged("customers_snapshot"))
         countries = add("dim_country", dims.new_countries(before.table("dim_country"), rows))
         states = add("dim_state", dims.new_states(before.table("dim_state"), rows, countries))
         add("dim_city", dims.new_cities(before.table("dim_city"), rows, countries, states))
 
     def instruments() -> None:
-        rows = reference("instruments")
+        rows = materialize(reference("instruments"))  # four loads read it: the text is parsed once
         sectors = add("dim_sector", dims.new_sectors(before.table("dim_sector"), rows))
         companies = add("dim_company", dims.new_companies(before.table("dim_company"), rows, sectors))
         exchanges = add("dim_exchange", dims.new_exchanges(before.table("dim_exchange"), rows))

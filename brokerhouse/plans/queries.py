@@ -36,41 +36,53 @@ def dim_country(spark: SparkSession, folder: str) -> DataFrame:
     return dims.new_countries(empty(spark, "dim_country"), tables.customers(spark, folder))
 
 
+def _states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    found = dims.distinct_places(tables.customers(spark, folder))
+    countries = dims.new_countries(empty(spark, "dim_country"), found)
+    return dims.new_states(empty(spark, "dim_state"), found, countries), countries, found
+
+
 def dim_state(spark: SparkSession, folder: str) -> DataFrame:
-    customers = tables.customers(spark, folder)
-    countries = dim_country(spark, folder)
-    return dims.new_states(empty(spark, "dim_state"), customers, countries)
+    return _states(spark, folder)[0]
 
 
 def dim_city(spark: SparkSession, folder: str) -> DataFrame:
-    customers = tables.customers(spark, folder)
-    countries = dim_country(spark, folder)
-    states = dims.new_states(empty(spark, "dim_state"), customers, countries)
-    return dims.new_cities(empty(spark, "dim_city"), customers, countries, states)
+    states, countries, found = _states(spark, folder)
+    return dims.new_cities(empty(spark, "dim_city"), found, countries, states)
 
 
-def dim_sector(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.new_sectors(empty(spark, "dim_sector"), tables.instruments(spark, folder))
+def _sectors(spark: SparkSession, staged: DataFrame) -> DataFrame:
+    return dims.new_sectors(empty(spark, "dim_sector"), staged)
 
 
-def dim_company(spark: SparkSession, folder: str) -> DataFrame:
-    return _companies(spark, folder, dim_sector(spark, folder))
+def _companies(spark: SparkSession, staged: DataFrame, sectors: DataFrame) -> DataFrame:
+    return dims.new_companies(empty(spark, "dim_company"), staged, sectors)
+
+
+def _exchanges(spark: SparkSession, staged: DataFrame) -> DataFrame:
+    return dims.new_exchanges(empty(spark, "dim_exchange"), staged)
 
 
-def _companies(spark: SparkSession, folder: str, sectors: DataFrame) -> DataFrame:
-    return dims.new_companies(empty(spark, "dim_company"), tables.instruments(spark, folder), sectors)
+def dim_sector(spark: SparkSession, folder: str) -> DataFrame:
+    return _sectors(spark, tables.instruments(spark, folder))
+
+
+def dim_company(spark: SparkSession, folder: str) -> DataFrame:
+    staged = tables.instruments(spark, folder)
+    return _companies(spark, staged, _sectors(spark, staged))
 
 
 def dim_exchange(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.new_exchanges(empty(spark, "dim_exchange"), tables.instruments(spark, folder))
+    return _exchanges(spark, tables.instruments(spark, folder))
 
 
 def _instrument_branch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     staged = tables.instruments(spark, folder)
-    sectors = dim_sector(spark, folder)
-    companies = _companies(spark, folder, sectors)
-    exchanges = dim_exchange(spark, folder)
-    instruments = dims.new_instruments(empty(spark, "dim_instrument"), staged, sectors, companies, exchanges)
+    sectors = _sectors(spark, staged)
+    companies = _companies(spark, staged, sectors)
+    instruments = dims.new_instruments(
+        empty(spark, "dim_instrument"), staged, sectors, companies, _exchanges(spark, staged)
+    )
     return instruments, companies, sectors
 
 
