@@ -60,8 +60,8 @@ class AllowedValues:
 
 
 @dataclass(frozen=True)
-class AtLeast:
-    """Numbers above `bound` (or equal to it, when `inclusive`); malformed text and null fail."""
+class Above:
+    """Numbers above `bound`, or also equal to it when `inclusive`; malformed text and null fail."""
 
     column: str
     bound: int
@@ -76,10 +76,10 @@ class AtLeast:
         return _not_true(value >= self.bound if self.inclusive else value > self.bound, self, F.col(self.column))
 
 
-Rule = IsComplete | IsUnique | AllowedValues | AtLeast
+Rule = IsComplete | IsUnique | AllowedValues | Above
 
 
-def _not_true(test: Column, rule: AllowedValues | AtLeast, value: Column) -> Column:
+def _not_true(test: Column, rule: AllowedValues | Above, value: Column) -> Column:
     holds = F.coalesce(test, F.lit(False))
     return F.count_if(~(holds | value.isNull()) if rule.null_ok else ~holds)
 

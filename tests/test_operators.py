@@ -397,20 +397,20 @@ def test_rules_on_nulls_duplicates_and_malformed(spark):
         quality.IsUnique("k"),
         quality.AllowedValues("band", ("LOW", "HIGH")),
         quality.AllowedValues("band", ("LOW", "HIGH"), null_ok=True),
-        quality.AtLeast("n", 0),
-        quality.AtLeast("n", 0, inclusive=True),
-        quality.AtLeast("n", 0, null_ok=True),
+        quality.Above("n", 0),
+        quality.Above("n", 0, inclusive=True),
+        quality.Above("n", 0, null_ok=True),
     )
     assert got == [2, 1, 2, 1, 4, 3, 3]
 
 
 def test_small_fractions_are_above_zero(spark):
-    assert _failed(spark.createDataFrame([("0.001",)], "n string"), quality.AtLeast("n", 0)) == [0]
+    assert _failed(spark.createDataFrame([("0.001",)], "n string"), quality.Above("n", 0)) == [0]
 
 
 def test_numbers_are_compared_as_they_are(spark):
     df = spark.createDataFrame([(1, money("0.00")), (0, money("0.01"))], "n int, m decimal(18,2)")
-    assert _failed(df, quality.AtLeast("n", 0), quality.AtLeast("m", 0)) == [1, 1]
+    assert _failed(df, quality.Above("n", 0), quality.Above("m", 0)) == [1, 1]
 
 
 def test_an_empty_dataset_passes(spark):

@@ -9,6 +9,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from brokerhouse.plans import analytics
 from brokerhouse.plans.pipeline import Places, check, curate, load, run_day
@@ -251,6 +252,23 @@ def test_analytics_over_the_warehouse(three_days):
     ]
 
 
+def test_fact_days_can_be_chosen(three_days):
+    _, now = three_days
+    days = lambda **limits: sorted(str(r[0]) for r in now.fact("fact_trades", **limits).select("business_date").distinct().collect())
+    assert days() == [D1, D2, D3]
+    assert days(since=D2) == [D2, D3]
+    assert days(since=D2, until=D2) == [D2]
+    assert days(since="2027-01-01") == []
+
+
+def test_facts_hold_what_was_curated(three_days):
+    where, now = three_days
+    total = F.sum("gross_trade_amount").alias("s")
+    for day in (D1, D2, D3):
+        curated_sum = now.spark.read.parquet(where.dataset(day, "trades")).agg(total).first().s
+        assert now.fact("fact_trades", day, day).agg(total).first().s == curated_sum
+
+
 def test_as_of_an_earlier_load(three_days):
     _, now = three_days
     first = now.as_of(1)
