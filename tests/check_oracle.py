@@ -12,7 +12,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -43,9 +43,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 _KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
 
 
-def difference(spark: SparkSession, con, query, sql: str, folder: str) -> str | None:
+def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when rows, names and types agree, else what differs."""
-    df = query(spark, folder)
     mine = _sorted_rows(df.columns, df.collect())
     answer = con.execute(sql)
     names = [d[0] for d in answer.description]
@@ -79,7 +78,7 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            found = difference(spark, con, query, sqls[name], folder)
+            found = difference(query(spark, folder), con, sqls[name])
         except Exception as error:  # report and go on to the next query
             found = f"{type(error).__name__} {str(error)[:600]}"
         print(f"{'ok  ' if found is None else 'DIFF'} {name} {time.time() - start:.1f}s {found or ''}", flush=True)
