@@ -14,7 +14,7 @@ from brokerhouse.sources.work import materialize
 __all__ = ["bloom_bits", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "word_hashes"]
 
 #: Bytes of text that numpy works on at a time.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 def fold(id_col: str, folds: int) -> Column:
