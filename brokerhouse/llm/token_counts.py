@@ -17,7 +17,6 @@ repeated rows are counted each for itself; sections may be empty, and then hold
 
 from __future__ import annotations
 
-import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.bpe import LONGEST_KEPT, MOST_KEPT, Bpe
+from brokerhouse.llm.bpe import TOGETHER, Bpe
 from brokerhouse.llm.common import texts_of
 
 RULES = ("first", "most", "share")
@@ -40,42 +39,15 @@ def lines(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _LINE.finditer(text)] or [(0, 0)]
 
 
-Spans = tuple[tuple[int, ...], tuple[int, ...]]
-
-
-def chunk_spans(bpe: Bpe, chunk: str) -> Spans:
-    """First and last-plus-one character of each token of a chunk, from the chunk's first character on."""
-    owner = [k for k, c in enumerate(chunk) for _ in c.encode()]
-    ends = list(itertools.accumulate(len(bpe.token_bytes[i]) for i in bpe.encode_chunk(chunk)))
-    return tuple(owner[e] for e in [0, *ends[:-1]]), tuple(owner[e - 1] + 1 for e in ends)
-
-
-def token_spans(bpe: Bpe, split: list[tuple[list[str], int | None]], kept: dict[str, Spans]) -> tuple[np.ndarray, np.ndarray]:
-    """Character spans of all tokens of a text, split into its chunks, in order."""
-    sizes: list[int] = []
-    found: list[Spans] = []
-    for chunks, special in split:
-        if special is not None:
-            sizes.append(len(chunks[0]))
-            found.append(((0,), (len(chunks[0]),)))
-            continue
-        for chunk in chunks:
-            spans = kept.get(chunk)
-            if spans is None:
-                spans = chunk_spans(bpe, chunk)
-                if len(chunk) <= LONGEST_KEPT:
-                    if len(kept) >= MOST_KEPT:
-                        kept.clear()
-                    kept[chunk] = spans
-            sizes.append(len(chunk))
-            found.append(spans)
-    counts = np.array([len(s[0]) for s in found], np.int64)
-    total, at = int(counts.sum()), np.cumsum(sizes, dtype=np.int64) - sizes
-    shift = np.repeat(at, counts) if len(counts) else np.zeros(0, np.int64)
-    begins, ends = (
-        np.fromiter(itertools.chain.from_iterable(s[side] for s in found), np.int64, total) for side in (0, 1)
-    )
-    return begins + shift, ends + shift
+def token_spans(sizes: np.ndarray, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Character spans of all tokens of a text, in order; `sizes` has the number of bytes of each token."""
+    if not ids:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    data = np.frombuffer(text.encode(), np.uint8)
+    owner = np.cumsum((data & 0xC0) != 0x80) - 1  # the character of each byte
+    lengths = sizes[np.fromiter(ids, np.int64, len(ids))]
+    ends = np.cumsum(lengths)
+    return owner[ends - lengths], owner[ends - 1] + 1
 
 
 def allocate(
@@ -129,17 +101,16 @@ def section_tokens(
         raise ValueError(f"rule must be one of {RULES}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, kept = Bpe.read(vocabulary), {}
+        bpe = Bpe.read(vocabulary)
+        sizes = np.array(list(map(len, bpe.token_bytes)), np.int64)
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                part = batch.slice(k, 128)
+            for k in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(k, TOGETHER)
                 owner, number, begin, end, tokens, crossing, whole = [], [], [], [], [], [], []
                 texts = texts_of(part.column("_text"))
-                split = [bpe.split(t) for t in texts]
-                bpe.learn({c for parts in split for chunks, i in parts if i is None for c in chunks})
-                for row, text in enumerate(texts):
+                for row, (text, ids) in enumerate(zip(texts, bpe.encode_batch(texts), strict=True)):
                     spans = sections(text)
-                    begins, ends = token_spans(bpe, split[row], kept)
+                    begins, ends = token_spans(sizes, text, ids)
                     counts, over, rest = allocate(begins, ends, spans, rule)
                     extra = rest > 1e-9
                     owner += [row] * (len(spans) + extra)
