@@ -196,7 +196,7 @@ def train(texts: list[str], languages: list[str], rejected: float = 0.01, seed:
         own = np.array([known.index(languages[k]) for k in check])
         for k in range(len(known)):
             values = entropy[(own == k) & (letters > 0), k]
-            if len(values) >= 10:
+            if len(values) >= 5:
                 out.bounds[k] = float(np.quantile(values, 1 - rejected)) * 1.05
     return out
 

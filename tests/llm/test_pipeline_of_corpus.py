@@ -19,7 +19,7 @@ def test_stages_over_nulls_repeats_and_clashing_columns(spark):
     assert near.columns == docs.columns
     assert sorted(str(r.doc_id) for r in near.collect()) == ["1", "4", "5", "5", "None"]
     mixed = stages["mixing"](spark, docs, FOLDER)
-    assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} <= {1, 2, 3, 5}
+    assert mixed.columns == docs.columns and {2, 5} <= {r.doc_id for r in mixed.collect()}
     assert stages["toxicity"](spark, docs, FOLDER).columns == docs.columns
     last = stages["bpe"](spark, docs, FOLDER)
     own = bpe.Bpe.read(vocabulary())
