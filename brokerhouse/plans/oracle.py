@@ -34,6 +34,7 @@ def _customers(name: str, band: str, kyc: str, where: str) -> str:
         WHERE {where}"""
 
 
+CUSTOMERS = _customers("c_name", BAND, KYC, "true")
 CUSTOMERS_1 = _customers("c_name", BAND, KYC, "c_acctbal >= 0")
 CUSTOMERS_2 = _customers(
     "CASE WHEN c_mktsegment = 'FURNITURE' THEN c_name || ' & Co' ELSE c_name END",
@@ -153,7 +154,7 @@ def _keyed(key: str, columns: str, source: str) -> str:
 
 
 GEO_CTES = {
-    "stage": CUSTOMERS_1,
+    "stage": CUSTOMERS,
     "dim_country": _keyed("country_key", "country_name", "stage WHERE country_name IS NOT NULL"),
     "dim_state": _keyed("state_key", "state_name, country_key", "stage JOIN dim_country USING (country_name)"),
     "dim_city": _keyed(
@@ -262,7 +263,7 @@ TRADE_RULES = [
 ]
 
 DQ_CTES = {
-    "customers_feed": CUSTOMERS_1,
+    "customers_feed": CUSTOMERS,
     "accounts_feed": ACCOUNTS_1,
     "orders_feed": RAW_ORDERS,
     "trades": TRADES,

@@ -108,7 +108,7 @@ def scd2_advisor(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scd2_customer(spark: SparkSession, folder: str) -> DataFrame:
-    return _two_days(spark, folder, CUSTOMER, tables.customers)
+    return _two_days(spark, folder, CUSTOMER, tables.customer_days)
 
 
 def scd2_account(spark: SparkSession, folder: str) -> DataFrame:

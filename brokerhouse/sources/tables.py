@@ -32,11 +32,21 @@ def _geography(spark: SparkSession, folder: str) -> DataFrame:
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 
 
-def customers(spark: SparkSession, folder: str, day: str = FIRST_DAY) -> DataFrame:
-    """Customer snapshot of one of two days.
+def customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer snapshot of the first day: the whole table."""
+    return _customer_rows(spark, folder, FIRST_DAY)
 
-    Between the days: customers in debt appear, customers with balances over 9,500
-    vanish, the machinery segment changes its risk band, the furniture segment only its
+
+def customer_days(spark: SparkSession, folder: str, day: str = FIRST_DAY) -> DataFrame:
+    """Customer snapshot of one of two days, for the history scenario alone: customers in debt come, rich ones go."""
+    balance = F.col("c_acctbal")
+    return _customer_rows(spark, folder, day, balance >= 0 if day == FIRST_DAY else balance <= 9500)
+
+
+def _customer_rows(spark: SparkSession, folder: str, day: str, there: Column | None = None) -> DataFrame:
+    """Customers as of a day.
+
+    Between the days the machinery segment changes its risk band, the furniture segment only its
     names, and nation 3 loses its KYC status. Nation 7 never has one; nation 11 has no city.
     """
     source = table(spark, folder, "customer").join(
@@ -47,10 +57,9 @@ def customers(spark: SparkSession, folder: str, day: str = FIRST_DAY) -> DataFra
     name = F.col("c_name")
     band = F.when(balance < 3000, "LOW").when(balance < 7000, "MEDIUM").otherwise("HIGH")
     kyc = F.when(nation != 7, F.when(F.col("c_custkey") % 10 == 0, "PENDING").otherwise("VERIFIED"))
-    if day == FIRST_DAY:
-        source = source.where(balance >= 0)
-    else:
-        source = source.where(balance <= 9500)
+    if there is not None:
+        source = source.where(there)
+    if day != FIRST_DAY:
         name = F.when(segment == "FURNITURE", F.concat(name, F.lit(" & Co"))).otherwise(name)
         changed = F.when(band == "HIGH", "MEDIUM").otherwise("HIGH")
         band = F.when(segment == "MACHINERY", changed).otherwise(band)

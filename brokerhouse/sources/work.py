@@ -26,7 +26,9 @@ def work_dir(spark: SparkSession) -> str:
         return f"{configured.rstrip('/')}/brokerhouse-{context.applicationId}"
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="brokerhouse-"))
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="brokerhouse-")
+    return _local_dirs[context.applicationId]
 
 
 def new_path(spark: SparkSession) -> str:

@@ -292,6 +292,8 @@ def test_a_day_is_replaced_whole(spark):
     existing = spark.createDataFrame([("S1", "T1", day1, day2, "SETTLED"), ("S1", "T1", day2, day2, "SETTLED")], schema)
     text = "settlement_id string, trade_id string, business_date string, settlement_date string, settlement_status string"
     incoming = spark.createDataFrame([("S9", "T9", D1, D2, "PENDING")], text)
+    undated = existing.limit(1).withColumn("business_date", F.lit(None).cast("date"))
+    assert replace_day(undated, incoming.where("false"), schema, D1).count() == 1
     assert rows(replace_day(existing, incoming, schema, D1)) == [
         ("S1", "T1", day2, day2, "SETTLED"),
         ("S9", "T9", day1, day2, "PENDING"),

@@ -7,7 +7,9 @@ from pathlib import Path
 import pytest
 from check_oracle import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from brokerhouse.plans.oracle import ORACLE_SQL
+from brokerhouse.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Joins that pair every row with every other, and Python workers.
@@ -21,19 +23,19 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in UNWANTED if node in plan]
-    assert difference(df, con, oracle_sql()[name]) is None
+    assert difference(df, con, ORACLE_SQL[name]) is None
 
 
 def test_sums_are_reduced_before_dimension_joins(spark):
-    plan = queries()["top_instruments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES["top_instruments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     below_join = plan[plan.index("Join Inner") :]
     assert "Aggregate [instrument_id" in below_join and "lineitem" not in plan[: plan.index("Join Inner")]
 
