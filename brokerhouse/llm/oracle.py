@@ -15,7 +15,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op9_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as e
+            select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
             from embeddings where embedding is not null
         ),
         scored as (
