@@ -67,6 +67,7 @@ def brute_classes(rows, size, percent):
 def test_classes_equal_brute_force(spark, monkeypatch, size, percent, hot):
     monkeypatch.setattr(ngram_join, "HOT", hot)
     monkeypatch.setattr(ngram_join, "MEETING", 16)
+    monkeypatch.setattr(ngram_join, "AT_ONCE", 50)
     rows = corpus()
     found = ngram_join.classes(spark.createDataFrame(rows, NAMES), size, percent)
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute_classes(rows, size, percent)
