@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.sources.work import materialize
+from brokerhouse.sources.work import materialize, work_dir
 
-__all__ = ["bloom_bits", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "word_hashes"]
+__all__ = ["bloom_bits", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "word_hashes"]
 
 #: Bytes of text that numpy works on at a time.
 BLOCK = 1 << 19
 
 
+def discard(table: DataFrame) -> None:
+    """Empty a work table that no later plan reads: its space is free long before the application ends."""
+    spark = table.sparkSession
+    files = table.inputFiles()
+    folder = unquote(files[0].rpartition("/")[0]) if files else ""
+    if work_dir(spark).split(":", 1)[-1].strip("/") in folder:  # never a table that somebody else has written
+        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`; -1 where the id is null."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(folds)), F.lit(-1)).cast("int")

@@ -3,6 +3,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from brokerhouse.llm import exact_dedup, ngram_join
@@ -108,3 +109,25 @@ def test_fingerprints_compose():
     for cut in (0, 1, 8192, 20_000, 30_000):
         left, right, shift = hasher(data[:cut]), hasher(data[cut:]), hasher.shift_of(len(data) - cut)
         assert hasher(data) == [exact_dedup.combine(*x) for x in zip(left, right, shift, hasher.primes, strict=True)]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_fine_sketches_never_rule_out_a_link(percent):
+    rng = np.random.default_rng(11)
+    passed = reached = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 260))
+        one = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        own = rng.random(len(one)) < rng.choice([0.3, 0.8, 0.95, 1.0])
+        more = rng.integers(0, 1 << 63, int(rng.integers(0, n // 8 + 2)), dtype=np.uint64)
+        two = np.unique(np.concatenate([one[own], more]))
+        if not len(two):
+            continue
+        share = 100 * len(np.intersect1d(one, two)) >= percent * len(np.union1d(one, two))
+        assert ngram_join.sets_reach(one.tobytes(), two.tobytes(), percent) == share
+        allowed = ngram_join.fine_allows(ngram_join.fine_sketch(one), ngram_join.fine_sketch(two), percent)
+        assert allowed or not share
+        passed, reached = passed + allowed, reached + share
+    assert 100 < reached <= passed < 2 * reached
+    alike = np.arange(40, dtype=np.uint64) << np.uint64(32)  # all in one class: no sketch, so nothing is ruled out
+    assert ngram_join.fine_sketch(alike) == b"" and ngram_join.fine_allows(b"", ngram_join.fine_sketch(one), percent)
