@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import PreTokenizer
 
-from brokerhouse.llm.common import free_names, texts_of
+from brokerhouse.llm.common import free_names, texts_of, tidied
 
 #: White space of the byte-level pre-tokenizer (fixed value). A run without it, with the one blank before it if any,
 #: is a chunk: no piece of the pre-tokenizer reaches over the border of two chunks.
@@ -254,7 +254,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text") -
                 )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest]
-    return docs.mapInArrow(run, ", ".join([*fields, f"`{tokens}` array<int>", f"`{trip}` boolean"]))
+    return docs.mapInArrow(tidied(run), ", ".join([*fields, f"`{tokens}` array<int>", f"`{trip}` boolean"]))
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str, tokens_col: str = "token_ids", text_col: str = "text") -> DataFrame:
@@ -269,7 +269,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, tokens_col: str = "tok
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*[f.name for f in rest], text_col])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest]
-    return encoded.mapInArrow(run, ", ".join([*fields, f"`{text_col}` string"]))
+    return encoded.mapInArrow(tidied(run), ", ".join([*fields, f"`{text_col}` string"]))
 
 
 def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,4 +293,4 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
     light = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = light.schema["_id"].dataType.simpleString()
-    return light.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return light.mapInArrow(tidied(run), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 from urllib.parse import unquote
 
 import numpy as np
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 from brokerhouse.sources.work import materialize, work_dir
 
-__all__ = ["bloom_bits", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "word_hashes"]
+__all__ = ["bloom_bits", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "tidied", "word_hashes"]
 
 #: Bytes of text that numpy works on at a time.
 BLOCK = 1 << 19
@@ -66,6 +69,26 @@ def same_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidied(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The Arrow function; at its end the worker, which lives on for other tasks, gives back memory that it holds in reserve."""
+
+    @wraps(run)
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Texts of an Arrow column, null as the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.common import bloom_bits, free_names, in_bloom, materialize, same_columns, text_bytes
+from brokerhouse.llm.common import bloom_bits, free_names, in_bloom, materialize, same_columns, text_bytes, tidied
 from brokerhouse.sources.work import with_copy_number
 
 #: Primes under 2**31: sums over a chunk stay under 2**53, so products in floating point are exact.
@@ -105,7 +105,7 @@ def _small(light: DataFrame, kind: str, primes: tuple[int, int]) -> DataFrame:
             columns = [pa.array(sha, pa.string()), pa.array(size, pa.int64()), pa.array(print_, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], ["_id", "_sha", "_bytes", "_print"])
 
-    return light.mapInArrow(run, f"_id {kind}, _sha string, _bytes long, _print long")
+    return light.mapInArrow(tidied(run), f"_id {kind}, _sha string, _bytes long, _print long")
 
 
 def _segments(light: DataFrame, huge: int, primes: tuple[int, int]) -> DataFrame:
@@ -130,7 +130,7 @@ def _segments(light: DataFrame, huge: int, primes: tuple[int, int]) -> DataFrame
         .repartition("_sha", "_place")
     )
     hashed = parts.mapInArrow(
-        run, "_sha string, _place int, _bytes long, _h1 long, _h2 long, _s1 long, _s2 long"
+        tidied(run), "_sha string, _place int, _bytes long, _h1 long, _h2 long, _s1 long, _s2 long"
     ).dropDuplicates(["_sha", "_place"])
     ordered = hashed.groupBy("_sha").agg(
         F.array_sort(F.collect_list(F.struct("_place", "_bytes", "_h1", "_h2", "_s1", "_s2"))).alias("_parts")
@@ -187,7 +187,7 @@ def _chunks(light: DataFrame, huge: int, primes: tuple[int, int], bits: np.ndarr
         columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 5, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(columns, ["_print", "_bytes", "_sha", "_chunk", "_data"])
 
-    return light.mapInArrow(run, "_print long, _bytes long, _sha string, _chunk int, _data binary")
+    return light.mapInArrow(tidied(run), "_print long, _bytes long, _sha string, _chunk int, _data binary")
 
 
 def duplicates(
