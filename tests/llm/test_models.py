@@ -113,6 +113,26 @@ def test_toxicity_learns_and_scores_blocks_alike(spark, monkeypatch):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_a_text_scores_the_same_beside_any_other():
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("aeilmnst", k=4)) for _ in range(rng.randrange(1, 9))) for _ in range(120)]
+    texts = [f"scum vile {t}" if k % 3 == 0 else t for k, t in enumerate(texts)]
+    flat, counts = toxicity.buckets(pa.array(texts))
+    own = np.split(flat, np.cumsum(counts)[:-1])
+    labels = np.array([k % 3 == 0 for k in range(len(texts))], np.float32)
+    model = toxicity.train(own, labels, ["en"] * len(texts), 0.3)
+    texts += ["", "!!", None]
+    texts += texts[::-1]
+    of = lambda some: model.raw(*toxicity.buckets(pa.array(some, pa.string())))[0]
+    alone = np.concatenate([of([t]) for t in texts])
+    assert np.allclose(of(texts), alone, atol=1e-4) and np.allclose(of(texts[::-1])[::-1], alone, atol=1e-4)
+    for width in range(len(model.kernels)):  # filters that love toxic words do not find them in the next text
+        model.kernels[width] = np.abs(model.kernels[width])
+    model.embed[:-1] = np.abs(model.embed[:-1]) * np.where(np.isin(np.arange(len(model.embed) - 1), own[0][:2]), 9, -1)[:, None]
+    alone = np.concatenate([of([t]) for t in texts])
+    assert np.allclose(of(texts), alone, atol=1e-3, rtol=1e-5)
+
+
 def test_kneser_ney_sums_to_one_and_tells_languages_apart(spark, monkeypatch):
     rng = random.Random(9)
     parts = {"aa": ["ba", "na", "lo", "mi"], "bb": ["tsch", "ung", "keit", "ver"], "cc": ["eaux", "tion", "é", "qu"]}
