@@ -8,8 +8,8 @@ country code), which teach it to look at the surroundings and the shape.
 A text is covered by overlapping windows on a fixed grid. A span must hold a digit or an at sign, so windows without
 either are all outside by definition and are not computed. The windows' emissions are put together over the whole
 text, each weighted by its distance from the window's edge, and one Viterbi pass over every covered stretch decides globally.
-The model only adds spans: one that overlaps a base span, or a match of its kind's pattern that the check has refused,
-or fails its kind's check itself, is left out.
+The model only adds spans: one that overlaps a base span, or lies within a match of its kind's pattern that the check
+has refused, or fails its kind's check itself, is left out.
 
 Defined results: a null text counts as empty and has no span; an empty table gives an empty result; with no labelled
 span in the sample there is no model, and base spans are all; repeated rows have the same spans. Whole texts are read.
@@ -300,10 +300,13 @@ def _plausible(kind: int, text: str) -> bool:
     if kind == 0:
         name, _, host = text.partition("@")
         return bool(name) and "." in host.strip(".") and "@" not in host
-    if not re.fullmatch(r"[0-9+ ().\-/]+", text):
+    if not re.fullmatch(r"[0-9+ ().\-/\[\]]+" if kind == 1 else r"[0-9+ ().\-/]+", text):
         return False
-    numbers = _NUMBER.findall(text)
-    return valid(kind, text) and (kind != 1 or len(numbers) == 4) and (kind != 3 or len(numbers) > 1)
+    return valid(kind, text) and (kind != 1 or len(_NUMBER.findall(text)) == 4)
+
+
+def _like_an_ip(text: str) -> bool:
+    return all(len(n) <= 3 for n in _NUMBER.findall(text))
 
 
 def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
@@ -316,9 +319,14 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span],
         refused = [s for s in raw if s not in base]
         added: list[Span] = []
         for a, kind, b in more if more else ():
-            # what a pattern has matched and its check has refused stays refused, as that kind or as another number
-            against = base + [s for s in refused if s[1] == kind or (kind == 3 and s[1] == 1)]
-            if _plausible(kind, text[a:b]) and not any(a < y and x < b for x, _, y in against):
+            # what a pattern has matched and its check has refused stays refused, as that kind, or as a phone if it looks
+            # like an IP; a span that reaches beyond is another number, of which the pattern has matched pieces
+            against = [s for s in refused if s[1] == kind or (kind == 3 and s[1] == 1 and _like_an_ip(text[s[0] : s[2]]))]
+            if (
+                _plausible(kind, text[a:b])
+                and not any(a < y and x < b for x, _, y in base)
+                and not any(x <= a and b <= y for x, _, y in against)
+            ):
                 added.append((a, kind, b))
         out.append((base, sorted(base + added)))
     return out

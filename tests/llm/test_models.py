@@ -113,6 +113,58 @@ def test_toxicity_learns_and_scores_blocks_alike(spark, monkeypatch):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def personal(rng):
+    """A datum of each kind as the base patterns know it."""
+    head = rng.choice("3456") + "".join(rng.choices("0123456789", k=14))
+    card = next(head + d for d in "0123456789" if luhn(head + d))
+    return [
+        f"jo.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com",
+        ".".join(str(rng.randrange(256)) for _ in range(4)),
+        rng.choice([" ", "-", ""]).join(card[k : k + 4] for k in range(0, 16, 4)),
+        rng.choice(["+{} {} 555 {}", "+{} ({}) 555-{}", "+{}{}555{}", "+{}.{}.555.{}"]).format(
+            rng.randrange(1, 99), rng.randrange(200, 999), rng.randrange(1000, 9999)
+        ),
+    ]
+
+
+def test_every_trained_variant_passes_when_tagged():
+    class Sure:
+        def tag(self, texts):
+            return [spans]
+
+    draw, rng = np.random.default_rng(1), random.Random(12)
+    for _ in range(40):
+        for kind, datum in enumerate(personal(rng)):
+            for form in {pii._variant(kind, datum, draw) for _ in range(20)}:
+                text, spans = f"lorem {form} ipsum", [(6, kind, 6 + len(form))]
+                base, all_ = pii.all_spans([text], Sure())[0]
+                assert spans[0] in all_ or any(a < 6 + len(form) and 6 < b for a, _, b in base), text
+    refused = ["9999 9999 9999 9999", "10.0.0.256", "192.168.100.300"]
+    for kind, text in zip((2, 1, 3), refused, strict=True):
+        spans = [(0, kind, len(text))]
+        assert pii.all_spans([text], Sure()) == [([], [])]
+
+
+def test_the_trained_model_finds_every_variant():
+    rng, draw, words = random.Random(13), np.random.default_rng(2), ["lorem", "ipsum", "dolor", "sit", "amet,", "call", "mail"]
+    say = lambda datum: " ".join([*rng.choices(words, k=rng.randrange(3, 20)), datum, *rng.choices(words, k=rng.randrange(3, 20))])
+    tagger = pii.train([say(datum) for _ in range(150) for datum in personal(rng)])
+    found = {}
+    for _ in range(60):
+        for kind, datum in enumerate(personal(rng)):
+            form = pii._variant(kind, datum, draw)
+            text = say(form)
+            at = text.index(form)
+            base, all_ = pii.all_spans([text], tagger)[0]
+            if not base:
+                shape = kind, re.sub("[0-9a-z]+", "0", form)
+                found.setdefault(shape, []).append((at, kind, at + len(form)) in all_)
+    assert all(any(v) for v in found.values() if len(v) >= 8)
+    for kind in range(4):
+        hits = [x for k, v in found.items() if k[0] == kind for x in v]
+        assert sum(hits) >= 0.3 * len(hits)
+
+
 def test_a_text_scores_the_same_beside_any_other():
     rng = random.Random(4)
     texts = [" ".join("".join(rng.choices("aeilmnst", k=4)) for _ in range(rng.randrange(1, 9))) for _ in range(120)]
