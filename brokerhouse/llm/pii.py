@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 96, 48
 EMBED, HIDDEN = 10, 16
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
+#: Windows that are computed at a time; stretches that are decoded at a time, and their places, each as long as the longest.
+WINDOWS, TOGETHER, CELLS = 1024, 256, 1 << 20
 
 # The patterns are fixed values. An e-mail's local part is found backwards from its at sign, which gives the
 # leftmost match without trying every start; the others cannot run on in vain.
@@ -95,7 +99,7 @@ def as_text(spans: list[Span]) -> str:
 
 
 # characters by class: 1 small letter, 2 capital, 3 digit, 4 white space, then each ASCII sign; 0 fills up
-_CLASS = np.ones(129, np.int64)
+_CLASS = np.ones(129, np.int8)
 _CLASS[65:91] = 2
 _CLASS[48:58] = 3
 _CLASS[:33] = 4
@@ -210,69 +214,82 @@ class Tagger:
         crf = [(g / n).astype(np.float32) for g in (g_trans, g_start)]
         return float((log_z - gold).mean()), [g_embed, *forth, *back, flat.T @ gflat, gflat.sum(0), *crf]
 
-    def viterbi(self, emit: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-        """Best tags of each row of `emit`, of which the first `sizes` places count."""
+    def viterbi(self, blocks: Iterator[np.ndarray], sizes: np.ndarray) -> list[np.ndarray]:
+        """Best tags of each row, of which the first `sizes` places count. The emissions come in blocks of places."""
         trans, start = self.weights[9], self.weights[10]
-        n, steps, _ = emit.shape
-        score, back = emit[:, 0] + start, np.zeros((n, steps, TAGS), np.int8)
-        last = score.copy()
-        for t in range(1, steps):
-            all_ = score[:, :, None] + trans
-            back[:, t] = all_.argmax(1)
-            score = all_.max(1) + emit[:, t]
-            ends = sizes == t + 1
-            last[ends] = score[ends]
+        n, steps, t = len(sizes), int(sizes.max()), 0
+        back, last = np.zeros((n, steps, TAGS), np.int8), np.zeros((n, TAGS), np.float32)
+        for emit in blocks:
+            for k in range(min(emit.shape[1], steps - t)):
+                if t:
+                    all_ = score[:, :, None] + trans
+                    back[:, t] = all_.argmax(1)
+                    score = all_.max(1) + emit[:, k]
+                else:
+                    score = emit[:, k] + start
+                t += 1
+                ends = sizes == t
+                if ends.any():
+                    last[ends] = score[ends]
         out = []
         for row in range(n):
             tag = int(last[row].argmax())
-            path = np.empty(sizes[row], np.int64)
+            path = np.empty(sizes[row], np.int8)
             for t in range(sizes[row] - 1, -1, -1):
                 path[t] = tag
                 tag = int(back[row, t, tag])
             out.append(path)
         return out
 
+    def blocks(self, rows: list[np.ndarray], counts: list[int]) -> Iterator[np.ndarray]:
+        """Emissions of stretches, each of so many windows, a block of places at a time."""
+        edge = (1 + np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])).astype(np.float32)[:, None]
+        rest = np.zeros((len(rows), WIDTH - STRIDE, TAGS + 1), np.float32)  # of places that the next windows see too
+        most, step = max(counts), max(1, WINDOWS // len(rows))
+        for lo in range(0, most, step):
+            hi = min(most, lo + step)
+            sums = np.concatenate([rest, np.zeros((len(rows), (hi - lo) * STRIDE, TAGS + 1), np.float32)], axis=1)
+            places = [(r, w) for r, count in enumerate(counts) for w in range(lo, min(hi, count))]
+            windows = np.zeros((len(places), WIDTH), np.int8)
+            for window, (r, w) in zip(windows, places, strict=True):
+                part = rows[r][w * STRIDE : w * STRIDE + WIDTH]
+                window[: len(part)] = part
+            for emit, (r, w) in zip(self.emissions(windows), places, strict=True):
+                begin = (w - lo) * STRIDE
+                sums[r, begin : begin + WIDTH, :TAGS] += emit * edge
+                sums[r, begin : begin + WIDTH, TAGS:] += edge
+            done = (hi - lo) * STRIDE
+            yield sums[:, :done, :TAGS] / np.maximum(sums[:, :done, TAGS:], 1)
+            rest = sums[:, done:]
+        yield rest[:, :, :TAGS] / np.maximum(rest[:, :, TAGS:], 1)
+
     def tag(self, texts: list[str]) -> list[list[Span]]:
         """Spans of each text, decoded over the whole of it."""
-        windows, owner = [], []
+        stretches: list[tuple[int, int, np.ndarray, int]] = []  # text, first place, classes, number of windows
         for k, text in enumerate(texts):
-            hints = np.array([m.start() // STRIDE for m in _HINT.finditer(text)], np.int64)
-            if len(hints):
-                wanted = np.unique(np.concatenate([hints, np.maximum(hints - 1, 0)]))
-                row = classes(text)
-                for w in wanted.tolist():
-                    part = row[w * STRIDE : w * STRIDE + WIDTH]
-                    if len(part):
-                        windows.append(np.pad(part, (0, WIDTH - len(part))))
-                        owner.append((k, w, len(part)))
+            if not _HINT.search(text):
+                continue
+            row = classes(text)
+            hints = np.zeros(-(-len(row) // STRIDE) * STRIDE, bool)
+            hints[: len(row)] = (row == _CLASS[48]) | (row == _CLASS[64])
+            hints = hints.reshape(-1, STRIDE).any(1)
+            wanted = np.flatnonzero(hints | np.append(hints[1:], False))
+            breaks = np.flatnonzero(np.diff(wanted) > 1)
+            for a, b in zip([0, *(breaks + 1).tolist()], [*breaks.tolist(), len(wanted) - 1], strict=True):
+                first, last = int(wanted[a]) * STRIDE, int(wanted[b]) * STRIDE
+                stretches.append((k, first, row[first : last + WIDTH], b + 1 - a))
         out: list[list[Span]] = [[] for _ in texts]
-        edge = (1 + np.minimum(np.arange(WIDTH), np.arange(WIDTH)[::-1])).astype(np.float32)[:, None]
-        stretches: list[tuple[int, int, np.ndarray]] = []
-        at = 0
-        for lo in range(0, len(windows), 1024):
-            emits = self.emissions(np.stack(windows[lo : lo + 1024]))
-            for emit in emits:
-                k, w, size = owner[at]
-                at += 1
-                begin = w * STRIDE
-                same = stretches and stretches[-1][0] == k and begin < stretches[-1][1] + len(stretches[-1][2])
-                if not same:
-                    stretches.append((k, begin, np.zeros((0, TAGS + 1), np.float32)))
-                k, first, sums = stretches[-1]
-                need = begin + size - first - len(sums)
-                if need > 0:
-                    sums = np.concatenate([sums, np.zeros((need, TAGS + 1), np.float32)])
-                sums[begin - first : begin - first + size, :TAGS] += (emit * edge)[:size]
-                sums[begin - first : begin - first + size, TAGS] += edge[:size, 0]
-                stretches[-1] = (k, first, sums)
         stretches.sort(key=lambda s: len(s[2]))
-        for lo in range(0, len(stretches), 256):
-            group = stretches[lo : lo + 256]
-            sizes = np.array([len(s[2]) for s in group])
-            emit = np.zeros((len(group), sizes.max(), TAGS), np.float32)
-            for k, (_, _, sums) in enumerate(group):
-                emit[k, : len(sums)] = sums[:, :TAGS] / sums[:, TAGS:]
-            for (k, first, _), tags in zip(group, self.viterbi(emit, sizes), strict=True):
+        lo = 0
+        while lo < len(stretches):
+            # together if their back-pointers are few; a longer stretch goes alone
+            hi = lo + 1
+            while hi < len(stretches) and hi - lo < TOGETHER and (hi + 1 - lo) * len(stretches[hi][2]) <= CELLS:
+                hi += 1
+            group, lo = stretches[lo:hi], hi
+            rows = [row for _, _, row, _ in group]
+            paths = self.viterbi(self.blocks(rows, [n for *_, n in group]), np.array([len(row) for row in rows]))
+            for (k, first, _, _), tags in zip(group, paths, strict=True):
                 out[k] += _tagged(tags, first)
         return [sorted(spans) for spans in out]
 
@@ -309,24 +326,39 @@ def _like_an_ip(text: str) -> bool:
     return all(len(n) <= 3 for n in _NUMBER.findall(text))
 
 
+class _Ranges:
+    """Sorted ranges of places."""
+
+    def __init__(self, ranges: list[tuple[int, int]]):
+        self.begins = [a for a, _ in ranges]
+        self.ends = list(accumulate((b for _, b in ranges), max))
+
+    def furthest(self, place: int) -> int:
+        """The furthest end of the ranges that begin before the place; -1 for none."""
+        k = bisect_left(self.begins, place)
+        return self.ends[k - 1] if k else -1
+
+
 def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans, and base and added spans, of each text."""
     found = [matches(t) for t in texts]
     tagged = tagger.tag(texts) if tagger else [[] for _ in texts]
     out = []
     for text, raw, more in zip(texts, found, tagged, strict=True):
-        base = [s for s in raw if valid(s[1], text[s[0] : s[2]])]
-        refused = [s for s in raw if s not in base]
+        base, refused = [], [[] for _ in KINDS]
+        for a, kind, b in raw:
+            if valid(kind, text[a:b]):
+                base.append((a, kind, b))
+            else:
+                refused[kind].append((a, b))
         added: list[Span] = []
-        for a, kind, b in more if more else ():
+        if more:
             # what a pattern has matched and its check has refused stays refused, as that kind, or as a phone if it looks
             # like an IP; a span that reaches beyond is another number, of which the pattern has matched pieces
-            against = [s for s in refused if s[1] == kind or (kind == 3 and s[1] == 1 and _like_an_ip(text[s[0] : s[2]]))]
-            if (
-                _plausible(kind, text[a:b])
-                and not any(a < y and x < b for x, _, y in base)
-                and not any(x <= a and b <= y for x, _, y in against)
-            ):
+            refused[3] = sorted(refused[3] + [(a, b) for a, b in refused[1] if _like_an_ip(text[a:b])])
+            taken, against = _Ranges([(a, b) for a, _, b in base]), [_Ranges(r) for r in refused]
+        for a, kind, b in more:
+            if _plausible(kind, text[a:b]) and taken.furthest(b) <= a and against[kind].furthest(a + 1) < b:
                 added.append((a, kind, b))
         out.append((base, sorted(base + added)))
     return out

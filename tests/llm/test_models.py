@@ -1,5 +1,7 @@
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +167,36 @@ def test_the_trained_model_finds_every_variant():
         assert sum(hits) >= 0.3 * len(hits)
 
 
+def test_long_stretches_are_decoded_whole_in_bounded_memory(monkeypatch):
+    rng = random.Random(21)
+    tagger = pii.Tagger.fresh(np.random.default_rng(3))
+    texts = ["".join(rng.choice("ab1 9.@-\n") for _ in range(n)) for n in (1, 47, 48, 49, 95, 96, 97, 144, 700, 2500)]
+    texts += ["x" * 200 + "7" + "y" * 300 + "@" + "z" * 95 + "1", "", "none"]
+    at_once = tagger.tag(texts)
+    assert at_once == [tagger.tag([t])[0] for t in texts] and sum(map(len, at_once)) > 20
+    monkeypatch.setattr(pii, "WINDOWS", 3)
+    monkeypatch.setattr(pii, "CELLS", 500)
+    assert tagger.tag(texts) == at_once
+    monkeypatch.undo()
+    long = "2024-01-01 17 " * 4000
+    texts = [long, *(f"lorem {k} ipsum" for k in range(255))]
+    tracemalloc.start()
+    found = pii.all_spans(texts, tagger)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 256 and peak < 100e6
+
+
+def test_added_spans_are_told_from_many_others_in_proportional_time():
+    class Every:
+        def tag(self, texts):
+            return [[(a, 2, b) for a, _, b in pii.matches(t)] for t in texts]
+
+    begun = time.process_time()
+    assert pii.all_spans(["12/34 " * 100_000], Every()) == [([], [])]
+    assert time.process_time() - begun < 20
+
+
 def test_a_text_scores_the_same_beside_any_other():
     rng = random.Random(4)
     texts = [" ".join("".join(rng.choices("aeilmnst", k=4)) for _ in range(rng.randrange(1, 9))) for _ in range(120)]
