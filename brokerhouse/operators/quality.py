@@ -155,6 +155,12 @@ def audit_rows(summary: DataFrame, business_date: str) -> DataFrame:
     )
 
 
+def reject_rows(rejects: DataFrame, business_date: str) -> DataFrame:
+    """Audit rows of the rows that a load has rejected, one for each feed and reason."""
+    counts = rejects.groupBy("dataset_name", "reason").agg(F.count(F.lit(1)).alias("failed_rule_outcomes"))
+    return audit_rows(counts.withColumn("dataset_status", F.concat(F.lit("REJECTED "), "reason")), business_date)
+
+
 def transaction_metrics(
     orders: DataFrame, trades: DataFrame, fund_movements: DataFrame, business_date: str | None = None
 ) -> DataFrame:

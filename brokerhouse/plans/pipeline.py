@@ -24,6 +24,7 @@ from brokerhouse.schemas import (
     FEEDS,
     MASTER_FEEDS,
     REFERENCES,
+    REJECTS,
     TRANSACTION_FEEDS,
     Fact,
     History,
@@ -151,6 +152,8 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         path = f"{places.reference}/{name}.csv"
         return typed(read_text_csv(spark, path, REFERENCES[name], name), REFERENCES[name])
 
+    stages_of = {name: staged if name in FEEDS else reference for name in dims.REQUIRED}
+
     def add(table: str, rows: DataFrame) -> DataFrame:
         write_parquet(rows, after.path(table, load_id))
         return after.table(table)
@@ -189,7 +192,11 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         summary = spark.read.schema("dataset_name string, failed_rule_outcomes bigint, dataset_status string").json(
             places.quality(business_date, "summary")
         )
-        add("audit_dq_results", quality.audit_rows(summary, business_date))
+        stages = [dims.rejected(stage(name), name, business_date) for name, stage in stages_of.items()]
+        write_parquet(reduce(DataFrame.unionByName, stages), after.path("load_rejects", load_id))
+        written = spark.read.schema(REJECTS).parquet(after.path("load_rejects", load_id))
+        rows = quality.audit_rows(summary, business_date)
+        add("audit_dq_results", rows.unionByName(quality.reject_rows(written, business_date)))
 
     together(
         partial(history, CUSTOMER, staged("customers_snapshot")),

@@ -180,4 +180,5 @@ FACTS: dict[str, Fact] = {
     )
 }
 
+REJECTS = _table(business_date=DATE, dataset_name=TEXT, reason=TEXT, staged_row=TEXT)
 AUDIT = _table(audit_run_ts=MOMENT, business_date=DATE, dataset_name=TEXT, pipeline_status=TEXT, finding_count=COUNT)

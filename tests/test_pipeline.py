@@ -231,6 +231,38 @@ def test_audit_has_a_row_per_dataset_and_day(three_days):
     ]
 
 
+def test_rows_that_get_no_key_are_kept_counted_and_stay_in_the_totals(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write_reference(tmp_path, [*ADVISORS, ("", "Nameless", "EAST")])
+    with (tmp_path / "reference" / "instruments.csv").open("a") as handle:
+        handle.write("INS4,STK4,Four,Brio,,NSE,India\nINS5,STK5,Five,,,,India\n")
+    trades = [_trade(D1, k, "BUY", "10", "100.00", f"INS{k}") for k in range(1, 7)]  # INS6 is in no reference
+    held = [{"account_id": "A1", "instrument_id": f"INS{k}", "holding_quantity": "10", "average_cost": "1.00",
+             "market_price": "1.00", "market_value": "10.00"} for k in (1, 4)]
+    write_day(raw, D1, [_customer("C1"), {**_customer("C2"), "city_name": ""}], [_account("A1")], trades, holdings_snapshot=held)
+    now = run_day(spark, places(tmp_path), D1)
+    rejects = now.table("load_rejects").collect()
+    assert sorted((r.dataset_name, r.reason) for r in rejects) == [
+        ("advisors", "null advisor_id"),
+        ("customers_snapshot", "null city_name"),
+        ("instruments", "null company_name, sector_name, exchange_code"),
+        ("instruments", "null sector_name"),
+    ]
+    assert {json.loads(r.staged_row).get("instrument_id") for r in rejects} == {None, "INS4", "INS5"}
+    audit = now.table("audit_dq_results").where("pipeline_status like 'REJECTED%'").collect()
+    assert ("instruments", "REJECTED null sector_name", 1) in {(r.dataset_name, r.pipeline_status, r.finding_count) for r in audit}
+    assert len(audit) == 4 and now.table("dim_instrument").count() == 3
+    branch = [now.table(t) for t in ("dim_instrument", "dim_company", "dim_sector")]
+    top = analytics.top_instruments(now.table("fact_trades"), branch[0]).collect()
+    assert [(r.symbol, r.instrument_name) for r in top] == [
+        ("INS4", None), ("INS5", None), ("INS6", None), ("STK1", "One"), ("STK2", "Two"), ("STK3", "Three"),
+    ]
+    sectors = analytics.sector_volume(now.table("fact_trades"), *branch).collect()
+    assert {r.sector_name: r.gross_volume for r in sectors} == {None: 3000, "IT": 2000, "AUTO": 1000}
+    values = analytics.holdings_by_sector(now.table("fact_daily_holdings"), *branch).collect()
+    assert {r.sector_name: r.total_market_value for r in values} == {None: 10, "IT": 10}
+
+
 def test_analytics_over_the_warehouse(three_days):
     _, now = three_days
     volume = analytics.daily_trading_volume(now.table("fact_trades")).collect()
