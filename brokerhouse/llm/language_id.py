@@ -210,9 +210,10 @@ def fit(
         F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
     ).where("_id is not null")
     # the sample is drawn among ids, so that only its rows meet their texts
-    ids = sample_rows(light, "_lang", "_id", most).select(F.col("_lang").alias("_l"), F.col("_id").alias("_i"))
+    ids = sample_rows(light.select("_lang", "_id").distinct(), "_lang", "_id", most).select(F.col("_lang").alias("_l"), F.col("_id").alias("_i"))
     both = light.join(F.broadcast(ids.distinct()), (F.col("_id") == F.col("_i")) & (F.col("_lang") == F.col("_l")))
-    rows = both.orderBy("_lang", "_id", "_text").select("_text", "_lang").toArrow()
+    one = both.groupBy("_lang", "_id").agg(F.min("_text").alias("_text"))  # one row an id and language
+    rows = one.orderBy("_lang", "_id").select("_text", "_lang").toArrow()
     return train(rows.column("_text").to_pylist(), rows.column("_lang").to_pylist())
 
 

@@ -437,8 +437,9 @@ def fit(docs: DataFrame, most: int = 1000, longest: int = 20_000, id_col: str =
     """Train on at most `most` documents with a digit or an at sign and at most `longest` characters."""
     usable = docs.where((F.length(text_col) <= longest) & F.col(text_col).rlike("[0-9@]") & F.col(id_col).isNotNull())
     light = usable.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    ids = sample_rows(light.select(F.lit(0).alias("_all"), "_id"), "_all", "_id", most).select(F.col("_id").alias("_i"))
-    rows = light.join(F.broadcast(ids.distinct()), F.col("_id") == F.col("_i")).orderBy("_id", "_text").select("_text")
+    ids = sample_rows(light.select(F.lit(0).alias("_all"), "_id").distinct(), "_all", "_id", most).select(F.col("_id").alias("_i"))
+    rows = light.join(F.broadcast(ids), F.col("_id") == F.col("_i"))
+    rows = rows.groupBy("_id").agg(F.min("_text").alias("_text")).orderBy("_id").select("_text")  # one row an id
     return train(rows.toArrow().column("_text").to_pylist())
 
 

@@ -197,6 +197,18 @@ def test_added_spans_are_told_from_many_others_in_proportional_time():
     assert time.process_time() - begun < 20
 
 
+def test_samples_hold_an_id_once(spark, monkeypatch):
+    rows = [(min(k, 40), f"a{k}@b.co", "en") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    for module in (pii, language_id):
+        monkeypatch.setattr(module, "train", lambda texts, *_: seen.append(texts))
+        module.fit(docs)
+        module.fit(docs, most=20)
+    assert [len(s) for s in seen] == [41, 20, 41, 20]
+    assert seen[0][:40] == [f"a{k}@b.co" for k in range(40)] and seen[0][40] in {t for k, t, _ in rows if k == 40}
+
+
 def test_a_text_scores_the_same_beside_any_other():
     rng = random.Random(4)
     texts = [" ".join("".join(rng.choices("aeilmnst", k=4)) for _ in range(rng.randrange(1, 9))) for _ in range(120)]
