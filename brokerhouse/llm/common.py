@@ -10,12 +10,16 @@ from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brokerhouse.sources.work import materialize, work_dir
 
-__all__ = ["bloom_bits", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows", "shingle_sets", "text_bytes", "texts_of", "tidied", "word_hashes"]
+__all__ = [
+    "bloom_bits", "by_bytes", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows",
+    "shingle_sets", "text_bytes", "texts_of", "tidied", "word_hashes",
+]
 
 #: Bytes of text that numpy works on at a time.
 BLOCK = 1 << 19
@@ -89,6 +93,17 @@ def tidied(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return whole
 
 
+def by_bytes(batch: pa.RecordBatch, text_col: str, most: int = BLOCK, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold at most `most` bytes together and `rows` rows; a longer text comes alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = min(max(lo + 1, int(np.searchsorted(ends, before + most, "right"))), lo + rows)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Texts of an Arrow column, null as the empty text."""
     return [t or "" for t in column.to_pylist()]

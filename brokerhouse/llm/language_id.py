@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.common import sample_rows
+from brokerhouse.llm.common import sample_rows, tidied
 
 ORDER = 4
 #: Bits of a character's class: class 0 is all that is no letter, the last one a letter outside the alphabet.
@@ -233,7 +233,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 )
 
     return light.mapInArrow(
-        run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean"
+        tidied(run), f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean"
     )
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.common import sample_rows, texts_of
+from brokerhouse.llm.common import by_bytes, sample_rows, texts_of, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 96, 48
@@ -62,7 +62,8 @@ def valid(kind: int, text: str) -> bool:
         return True
     numbers = _NUMBER.findall(text)
     if kind == 1:
-        return all(len(n.lstrip("0")) <= 3 and int(n) <= 255 for n in numbers)
+        parts = [n.lstrip("0") or "0" for n in numbers]  # a part may have any number of leading zeros
+        return all(len(n) <= 3 and int(n) <= 255 for n in parts)
     digits = "".join(numbers)
     return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 9 <= len(digits) <= 15
 
@@ -377,8 +378,26 @@ def _variant(kind: int, text: str, rng: np.random.Generator) -> str:
     return [bare, bare.replace(" ", "/"), "00" + bare][rng.integers(3)]
 
 
+#: Of one text, so many spans and other places make windows; they are drawn at random.
+SPANS_OF, OTHERS_OF = 6, 3
+
+
+def evenly(tags: np.ndarray, most: int, rng: np.random.Generator) -> np.ndarray:
+    """Which `most` windows to take: in turn one of each kind (by its greatest tag, so windows without a span are a kind)."""
+    kind = (tags.max(1, initial=0) + 1) // 2
+    order = rng.permutation(len(kind))
+    turn = np.zeros(len(kind), np.int64)
+    for k in np.unique(kind):
+        own = order[kind[order] == k]
+        turn[own] = np.arange(len(own))
+    return np.sort(np.lexsort((kind, turn))[:most])
+
+
 def examples(texts: list[str], rng: np.random.Generator, most: int = 3000) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and their tags around the spans of the texts, half of them in a variant, and around other numbers."""
+    """Windows and their tags around the spans of the texts, half of them in a variant, and around other numbers.
+
+    All texts make windows; where these are more than `most`, those are drawn evenly over the kinds.
+    """
     ids, tags = [], []
 
     def add(text: str, spans: list[Span], near: int) -> None:
@@ -399,23 +418,23 @@ def examples(texts: list[str], rng: np.random.Generator, most: int = 3000) -> tu
     for text in texts:
         spans, raw = base_spans(text), matches(text)
         free = [s for s in spans if not any(o is not s and s[0] < o[2] and o[0] < s[2] for o in spans)]
-        for span in free[:6]:
+        for span in [free[k] for k in rng.permutation(len(free))[:SPANS_OF]]:
             add(text, free, span[0])
             a, kind, b = span
             own = text[max(0, a - WIDTH) : a]
             other = _variant(kind, text[a:b], rng)
             add(own + other + text[b : b + WIDTH], [(len(own), kind, len(own) + len(other))], len(own))
         others = [m.start() for m in _HINT.finditer(text) if not any(a <= m.start() < b for a, _, b in raw)]
-        for k in rng.permutation(len(others))[:3]:
+        for k in rng.permutation(len(others))[:OTHERS_OF]:
             add(text, free, others[k])
-        if len(ids) >= most:
-            break
-    return np.array(ids, np.int64).reshape(-1, WIDTH)[:most], np.array(tags, np.int64).reshape(-1, WIDTH)[:most]
+    windows, marks = np.array(ids, np.int8).reshape(-1, WIDTH), np.array(tags, np.int8).reshape(-1, WIDTH)
+    some = evenly(marks, most, rng)
+    return windows[some].astype(np.int64), marks[some].astype(np.int64)
 
 
-def train(texts: list[str], steps: int = 160, batch: int = 32, seed: int = 11) -> Tagger | None:
+def train(texts: list[str], windows: int = 3000, steps: int = 160, batch: int = 32, seed: int = 11) -> Tagger | None:
     rng = np.random.default_rng(seed)
-    ids, tags = examples(texts, rng)
+    ids, tags = examples(texts, rng, windows)
     if not tags.any():
         return None
     tagger = Tagger.fresh(rng)
@@ -433,14 +452,17 @@ def train(texts: list[str], steps: int = 160, batch: int = 32, seed: int = 11) -
     return tagger
 
 
-def fit(docs: DataFrame, most: int = 1000, longest: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
-    """Train on at most `most` documents with a digit or an at sign and at most `longest` characters."""
+def fit(
+    docs: DataFrame, most: int = 1000, longest: int = 20_000, id_col: str = "doc_id", text_col: str = "text", windows: int = 3000
+) -> Tagger | None:
+    """Train on at most `most` documents with a digit or an at sign and at most `longest` characters, and on at most
+    `windows` windows of them, drawn evenly over the kinds."""
     usable = docs.where((F.length(text_col) <= longest) & F.col(text_col).rlike("[0-9@]") & F.col(id_col).isNotNull())
     light = usable.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     ids = sample_rows(light.select(F.lit(0).alias("_all"), "_id").distinct(), "_all", "_id", most).select(F.col("_id").alias("_i"))
     rows = light.join(F.broadcast(ids), F.col("_id") == F.col("_i"))
     rows = rows.groupBy("_id").agg(F.min("_text").alias("_text")).orderBy("_id").select("_text")  # one row an id
-    return train(rows.toArrow().column("_text").to_pylist())
+    return train(rows.toArrow().column("_text").to_pylist(), windows)
 
 
 def find(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -451,8 +473,7 @@ def find(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for part in by_bytes(batch, "_text", rows=1024):
                 both = all_spans(texts_of(part.column("_text")), tagger)
                 numbers = [pa.array([sum(s[1] == k for s in b) for b, _ in both], pa.int64()) for k in range(len(KINDS))]
                 sha = pa.array([hashlib.sha256(as_text(b).encode()).hexdigest() for b, _ in both], pa.string())
@@ -463,4 +484,4 @@ def find(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_co
                 )
 
     columns = ", ".join(f"{c} long" for c in counts)
-    return light.mapInArrow(run, f"`{id_col}` {kind}, {columns}, base_sha256 string, spans string, n_added long")
+    return light.mapInArrow(tidied(run), f"`{id_col}` {kind}, {columns}, base_sha256 string, spans string, n_added long")

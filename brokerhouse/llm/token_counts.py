@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brokerhouse.llm.bpe import TOGETHER, Bpe
-from brokerhouse.llm.common import texts_of
+from brokerhouse.llm.common import texts_of, tidied
 
 RULES = ("first", "most", "share")
 Sections = Callable[[str], list[tuple[int, int]]]
@@ -129,6 +129,6 @@ def section_tokens(
     light = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = light.schema["_id"].dataType.simpleString()
     return light.mapInArrow(
-        run,
+        tidied(run),
         f"`{id_col}` {kind}, section int, begins long, ends long, tokens double, crossing long, document_tokens long",
     )

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from brokerhouse.llm import language_id, pii, toxicity
+from brokerhouse.llm.common import by_bytes
 
 PATTERNS = [
     re.compile(p)
@@ -47,6 +48,22 @@ def test_base_spans_equal_the_patterns():
     assert all(pii.base_spans(t) == brute(t) for t in texts)
 
 
+def test_parts_of_any_length_are_numbers(spark):
+    zeros = "0" * 5000
+    texts = [f"x {zeros}.1.2.3 y", ".".join([zeros + "7"] * 4), f"{zeros}256.1.1.1", f"1.2.3.{zeros}", "+" + "1" * 5000, "4" * 5000]
+    rows = pii.find(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"), None)
+    found = {r.doc_id: r.spans for r in rows.collect()}
+    assert found == {0: "ip:2:5008", 1: "ip:0:20007", 2: "", 3: "ip:0:5006", 4: "", 5: ""}
+
+
+def test_training_windows_are_drawn_evenly():
+    texts = [f"a{k}@b.co and {k}" for k in range(300)] + ["10.0.0.1", "+49 30 1234567", "4111 1111 1111 1111"] * 30
+    for most in (40, 10_000):
+        ids, tags = pii.examples(texts, np.random.default_rng(1), most)
+        kinds = np.bincount((tags.max(1) + 1) // 2, minlength=5)
+        assert len(ids) == len(tags) == kinds.sum() <= most and (most > 40 or set(kinds.tolist()) == {8})
+
+
 def test_gradients_of_the_tagger():
     rng = np.random.default_rng(0)
     tagger = pii.Tagger.fresh(rng)
@@ -229,6 +246,23 @@ def test_a_text_scores_the_same_beside_any_other():
     assert np.allclose(of(texts), alone, atol=1e-3, rtol=1e-5)
 
 
+def test_scoring_a_whole_batch_takes_little_memory(spark):
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("aeilmnst", k=5)) for _ in range(300))
+    texts = pa.array([text] * 10_000 + [None, "", "word " * 200_000])
+    labels = np.array([1, 0] * 4, np.float32)
+    flat, counts = toxicity.buckets(pa.array(["scum", "fine"] * 4))
+    model = toxicity.train(np.split(flat, np.cumsum(counts)[:-1]), labels, ["en"] * 8, 0.3)
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    parts = list(by_bytes(batch, "text"))
+    assert sum(p.num_rows for p in parts) == len(texts) and len(parts) > 20
+    tracemalloc.start()
+    scores = np.concatenate([model.scores(*toxicity.buckets(p.column("text")))[0] for p in parts[:8]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(scores.tolist())) == 1 and peak < 80e6
+
+
 def test_kneser_ney_sums_to_one_and_tells_languages_apart(spark, monkeypatch):
     rng = random.Random(9)
     parts = {"aa": ["ba", "na", "lo", "mi"], "bb": ["tsch", "ung", "keit", "ver"], "cc": ["eaux", "tion", "é", "qu"]}
