@@ -13,6 +13,30 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
         from texts join groups using (t)
     """,
+    "op11_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+            from embeddings where embedding is not null and label is not null
+        ),
+        scored as (
+            select a.vec_id as anchor_id, c.vec_id as other_id, a.label = c.label as same,
+                cast(list_inner_product(a.e, c.e) as bigint) as score
+            from v a join v c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id
+        ),
+        positives as (
+            select *, row_number() over (partition by anchor_id order by score desc, other_id) as r from scored where same
+        ),
+        negatives as (
+            select p.anchor_id, p.other_id as positive_id, n.other_id as negative_id, p.score as positive_score,
+                n.score as negative_score,
+                row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as r
+            from positives p join scored n on p.r <= 5 and p.anchor_id = n.anchor_id and not n.same
+                and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+        )
+        select anchor_id, positive_id, cast(r as integer) as rank, negative_id, positive_score, negative_score
+        from negatives where r <= 3
+    """,
     "op9_topk": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e

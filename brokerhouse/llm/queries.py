@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from brokerhouse.llm import (
     bpe,
     exact_dedup,
+    hard_negatives,
     language_id,
     mixing,
     ngram_join,
@@ -103,6 +104,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.shifted_labels(_table(spark, folder, "embeddings")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,5 +125,6 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
     "op10_language": op10_language,
+    "op11_hard_negatives": op11_hard_negatives,
     "pipeline": pipeline,
 }

@@ -61,7 +61,7 @@ def test_training_windows_are_drawn_evenly():
     for most in (40, 10_000):
         ids, tags = pii.examples(texts, np.random.default_rng(1), most)
         kinds = np.bincount((tags.max(1) + 1) // 2, minlength=5)
-        assert len(ids) == len(tags) == kinds.sum() <= most and (most > 40 or set(kinds.tolist()) == {8})
+        assert len(ids) == len(tags) == kinds.sum() <= most and (most > 40 or kinds.tolist() == [0, 10, 10, 10, 10])
 
 
 def test_gradients_of_the_tagger():
