@@ -36,11 +36,13 @@ from pyspark.sql import functions as F
 from brokerhouse.llm.common import free_names, materialize, tidied
 
 #: Codes of a vector, and bit planes of a query.
-LEVELS, PLANES = 4, 6
+LEVELS, PLANES = 5, 7
 #: Bytes of the vectors in a block, rows of a block at least and at most.
-BLOCK_BYTES, LEAST_ROWS, MOST_ROWS = 1 << 24, 1024, 32_768
-#: Queries that are estimated together, and candidates scored at once to get a first bound.
-TOGETHER, SEEDS = 16, 32
+BLOCK_BYTES, LEAST_ROWS, MOST_ROWS = 1 << 24, 4096, 32_768
+#: Candidates scored first to get a bound of each range, of the so many that are estimated highest.
+SEEDS, AHEAD = 12, 512
+#: Anchors that are answered together.
+TOGETHER = 64
 _ROUNDS = 3
 _LONG = (1 << 63) - 1
 
@@ -89,9 +91,8 @@ def encode(rows: np.ndarray, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarr
 class Query:
     """A rotated query in bit planes: q = low + step * (0 .. 2^planes - 1) + what is left out."""
 
-    def __init__(self, vector: np.ndarray, planes: int = PLANES) -> None:
-        turned = rotate(vector[None])[0]
-        self.length = float(np.sqrt((vector**2).sum()))
+    def __init__(self, turned: np.ndarray, planes: int = PLANES) -> None:
+        self.length = float(np.sqrt((turned**2).sum()))
         self.low = float(turned.min())
         self.step = max((float(turned.max()) - self.low) / ((1 << planes) - 1), 1e-300)
         whole = np.rint((turned - self.low) / self.step)
@@ -99,80 +100,81 @@ class Query:
         bits = (whole.astype(np.int64)[None] >> np.arange(planes)[:, None]) & 1
         self.planes = pack(bits.astype(bool))
         # with s = 2 b - 1: <s, q> = sum over planes of step 2^k (2 |b & plane| - |plane|) + low (2 |b| - n)
-        self.weights = self.step * 2.0 ** np.arange(planes)
-        self.whole = float((self.weights * np.bitwise_count(self.planes).sum(1)).sum())
+        self.whole = self.step * float((2.0 ** np.arange(planes) * np.bitwise_count(self.planes).sum(1)).sum())
 
     def products(self, codes: np.ndarray, ones: np.ndarray) -> np.ndarray:
-        """<s, q> of each code (rows, words) by popcounts; `ones`: how many bits each code has."""
-        found = np.zeros(len(codes))
-        for plane, weight in zip(self.planes, self.weights, strict=True):
-            found += weight * np.bitwise_count(codes & plane).sum(1, dtype=np.int32)
-        return 2 * found - self.whole + self.low * (2.0 * ones - 64 * codes.shape[1])
+        """<s, q> of each code, by popcounts; `codes` a row for each word, `ones`: how many bits each code has."""
+        found = np.zeros(codes.shape[1], np.int32)
+        for word, planes in zip(codes, self.planes.T, strict=True):
+            for k, plane in enumerate(planes):
+                found += np.left_shift(np.bitwise_count(word & plane), k, dtype=np.int32)
+        return (2 * self.step) * found + (2 * self.low) * ones - (self.whole + 64 * len(codes) * self.low)
 
 
 class Block:
     """Candidates with their codes; `pairs` counts those that were asked for, `scored` those that were scored."""
 
     def __init__(self, uids, ids, known, labels, rows: np.ndarray, codes: np.ndarray, aligned: np.ndarray, left: np.ndarray):
-        self.uids, self.ids, self.known, self.labels, self.rows = uids, ids, known, labels, rows
-        self.codes, self.aligned, self.left = np.ascontiguousarray(codes.transpose(1, 0, 2)), aligned, left
-        self.ones = np.bitwise_count(self.codes).sum(2, dtype=np.int32)
-        self.lengths = np.sqrt((rows**2).sum(1))
+        by_label = np.argsort(labels, kind="stable")  # rows of a label lie together
+        self.uids, self.ids, self.known, self.labels, self.rows = (x[by_label] for x in (uids, ids, known, labels, rows))
+        self.codes = np.ascontiguousarray(codes[by_label].transpose(1, 2, 0))
+        self.aligned, self.left = (np.ascontiguousarray(x[by_label].T) for x in (aligned, left))
+        self.ones = np.bitwise_count(self.codes).sum(1, dtype=np.int32)
+        self.lengths = np.sqrt((self.rows**2).sum(1))
+        self.greatest = np.abs(self.rows).max(initial=0)
         self.pairs = self.scored = 0
 
-    def refine(self, query: Query, level: int, some: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Estimates of the candidates `some` with one more code, and the ends of their intervals."""
-        product = query.products(self.codes[level][some], self.ones[level][some])
-        n = 64 * self.codes.shape[2]
-        sums = sums + self.aligned[some, level] * product
+    def of_label(self, label: int) -> slice:
+        return slice(*np.searchsorted(self.labels, [label, label + 1]).tolist())
+
+    def refine(self, query: Query, level: int, some, sums: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Estimates of the candidates `some` (places or a slice) with one more code, and the ends of their intervals."""
+        product = query.products(self.codes[level][:, some], self.ones[level][some])
+        n, lengths, left = 64 * self.codes.shape[1], self.lengths[some], self.left[level][some]
+        sums = sums + self.aligned[level][some] * product
         # <s, q> itself is known up to sqrt(n) * error, which may only shorten the part of q along the code
-        along = np.maximum(np.abs(product) - math.sqrt(n) * query.error, 0) / math.sqrt(n)
-        across = np.sqrt(np.maximum(query.length**2 - along**2, 0))
-        wide = self.left[some, level] * across + (self.lengths[some] + self.left[some, level]) * query.error
-        wide += 1e-9 * self.lengths[some] * query.length + 1e-6  # rounding must not rule out a pair
+        along = np.maximum(np.abs(product) / math.sqrt(n) - query.error, 0)
+        across = np.sqrt(np.maximum(query.length**2 - along * along, 0))
+        # rounding must not rule out a pair
+        wide = left * (across + query.error) + lengths * (query.error + 1e-9 * query.length) + 1e-6
         return sums, sums - wide, sums + wide
 
-    def first(self, query: Query) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.refine(query, 0, np.arange(len(self.rows)), np.zeros(len(self.rows)))
-
     def score(self, vector: np.ndarray, some: np.ndarray) -> np.ndarray:
         self.scored += len(some)
-        return exact_products(self.rows[some], vector)
+        return exact_products(self.rows[some], vector, self.greatest)
 
     def best(self, scores: np.ndarray, some: np.ndarray, k: int) -> np.ndarray:
         """Places in `some` of the k greatest scores; known and smaller ids first among ties."""
+        near = np.arange(len(some))
         if len(some) > 4 * k:
             near = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-            return near[np.lexsort((self.uids[some[near]], self.ids[some[near]], ~self.known[some[near]], -scores[near]))[:k]]
-        return np.lexsort((self.uids[some], self.ids[some], ~self.known[some], -scores))[:k]
+        own = some[near]
+        return near[np.lexsort((self.uids[own], self.ids[own], ~self.known[own], -scores[near]))[:k]]
 
     def search(
-        self, vector: np.ndarray, eligible: np.ndarray, ranges: list[tuple[int, int]], k: int
+        self, uid: int, vector: np.ndarray, turned: np.ndarray, parts: list[slice], ranges: list[tuple[int, int]], k: int
     ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each range (least, greatest score, both included) the k best eligible candidates and their scores."""
-        query = Query(vector)
-        sums, low, high = self.first(query)
-        self.pairs += int(eligible.sum())
-        wanted = np.array([[float(a), float(b)] for a, b in ranges]).reshape(-1, 2)
-        # a few candidates per range are scored first: the k-th best of them bounds what is still wanted
-        for row, (least, most) in zip(wanted, ranges, strict=True):
-            there = np.flatnonzero(eligible & (low <= row[1]) & (high >= row[0]))
-            under = np.where(sums[there] <= row[1], sums[there], 2 * row[1] - sums[there])
-            seeds = there[np.argpartition(-under, SEEDS)[:SEEDS]] if len(there) > SEEDS else there
-            scores = self.score(vector, seeds)
-            fine = np.sort(scores[(scores >= least) & (scores <= most)])
-            if len(fine) >= k:
-                row[0] = float(fine[-k])
-        some = np.arange(len(self.rows))
-
-        def open_() -> np.ndarray:
+        """For each range (least, greatest score, both included) the k best candidates of the slices, but not row `uid`."""
+        query = Query(turned)
+        wanted = [(float(least), float(most)) for least, most in ranges]
+        lowest, highest = min(least for least, _ in wanted), max(most for _, most in wanted)
+        some, sums, low, high = [], [], [], []
+        for part in parts:
+            whole = self.refine(query, 0, part, 0.0)
+            at = np.flatnonzero((whole[1] <= highest) & (whole[2] >= lowest))
+            some.append(at + part.start)
+            for out, values in zip((sums, low, high), whole, strict=True):
+                out.append(values[at])
+            self.pairs += part.stop - part.start
+        some, sums, low, high = (np.concatenate(x) for x in (some, sums, low, high))
+        other = self.uids[some] != uid
+        if not other.all():
+            some, sums, low, high = some[other], sums[other], low[other], high[other]
+        wanted = self.narrowed(vector, some, sums, wanted, k)
+        for level in range(1, len(self.codes) + 1):
             keep = np.zeros(len(some), bool)
             for least, most in wanted:
                 keep |= (low <= most) & (high >= least)
-            return keep & eligible[some]
-
-        for level in range(1, len(self.codes) + 1):
-            keep = open_()
             some, sums = some[keep], sums[keep]
             if level == len(self.codes) or len(some) <= k:
                 break
@@ -185,13 +187,30 @@ class Block:
             out.append((some[top], scores[top]))
         return out
 
+    def narrowed(self, vector: np.ndarray, some: np.ndarray, sums: np.ndarray, wanted: list, k: int) -> list[tuple[float, float]]:
+        """The ranges from the k-th best of a few candidates on, which are scored: those estimated next under each range's end."""
+        near = np.argpartition(-sums, AHEAD)[:AHEAD] if len(sums) > AHEAD else np.arange(len(sums))
+        near = near[np.argsort(-sums[near])]
+        begins = np.searchsorted(-sums[near], [-most for _, most in wanted])
+        seeds = some[np.unique(np.concatenate([near[at : at + SEEDS] for at in begins]))]
+        scores = np.sort(self.score(vector, seeds))
+        out = []
+        for least, most in wanted:
+            inside = scores[np.searchsorted(scores, least) : np.searchsorted(scores, most, "right")]
+            out.append((float(inside[-k]) if len(inside) >= k else least, most))
+        return out
+
 
-def exact_products(rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
-    """Inner products of whole-number vectors as longs; beyond the range of a long, its nearest end."""
-    most = float(np.abs(rows).max(initial=0)) * float(np.abs(vector).max(initial=0)) * len(vector)
+def exact_products(rows: np.ndarray, vector: np.ndarray, greatest: float | None = None) -> np.ndarray:
+    """Inner products of whole-number vectors as longs; beyond the range of a long, its nearest end.
+
+    `greatest`: what no component of the rows exceeds, if known.
+    """
+    ends = float(np.abs(rows).max(initial=0) if greatest is None else greatest), float(np.abs(vector).max(initial=0))
+    most = ends[0] * ends[1] * len(vector)
     if most < 2**53:
         return (rows @ vector).astype(np.int64)
-    if most < 2**62 and max(np.abs(rows).max(initial=0), np.abs(vector).max(initial=0)) < 2**53:
+    if most < 2**62 and max(ends) < 2**53:
         return rows.astype(np.int64) @ vector.astype(np.int64)
     own = [int(v) for v in vector]
     exact = [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in rows]
@@ -261,7 +280,7 @@ def _arrays(parts: list[pa.RecordBatch], dim: int, levels: int) -> tuple[np.ndar
 
 
 def _met(clean: DataFrame, anchors: DataFrame, blocks: int, levels: int, answer, schema: str) -> DataFrame:
-    """Every anchor with every block of its dimension; `answer(block, anchor row as a dict)` yields rows of `schema`.
+    """Every anchor with every block of its dimension; `answer(block, row as a dict, vector, turned vector)` yields rows of `schema`.
 
     `anchors` holds `_uid`, `_id`, `_label`, `_dim`, `_v` and `_ranges`.
     """
@@ -299,7 +318,9 @@ def _met(clean: DataFrame, anchors: DataFrame, blocks: int, levels: int, answer,
                     continue
                 for k in range(0, part.num_rows, TOGETHER):
                     few = part.slice(k, TOGETHER)
-                    rows = [row for one in few.to_pylist() for row in answer(block, one)]
+                    vectors = few.column("_v").flatten().to_numpy().reshape(-1, dim)
+                    light = few.select(["_uid", "_id", "_label", "_ranges"]).to_pylist()
+                    rows = [row for one in zip(light, vectors, rotate(vectors), strict=True) for row in answer(block, *one)]
                     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names
@@ -338,9 +359,9 @@ def mine(
     blocks = max(1, math.ceil(count / fits), min(spread, vectors.sparkSession.sparkContext.defaultParallelism))
     anchors = clean.where(F.col("_id") % anchor_every == 0)
 
-    def same_label(block: Block, row: dict) -> Iterator[tuple]:
-        eligible = (block.labels == row["_label"]) & (block.uids != row["_uid"])
-        ((some, scores),) = block.search(np.array(row["_v"]), eligible, [(-_LONG - 1, _LONG)], positives)
+    def same_label(block: Block, row: dict, vector: np.ndarray, turned: np.ndarray) -> Iterator[tuple]:
+        own = [block.of_label(row["_label"])]
+        ((some, scores),) = block.search(row["_uid"], vector, turned, own, [(-_LONG - 1, _LONG)], positives)
         for at, score in zip(some.tolist(), scores.tolist(), strict=True):
             yield row["_uid"], row["_id"], int(block.ids[at]) if block.known[at] else None, int(block.uids[at]), score
 
@@ -350,12 +371,12 @@ def mine(
     turn = F.expr("row_number() over (partition by _uid order by positive_score desc, positive_id asc nulls last, _positive)")
     chosen = materialize(found.withColumn("_at", turn).where(F.col("_at") <= positives).drop("_positive"))
 
-    def other_labels(block: Block, row: dict) -> Iterator[tuple]:
-        eligible = block.labels != row["_label"]
+    def other_labels(block: Block, row: dict, vector: np.ndarray, turned: np.ndarray) -> Iterator[tuple]:
+        own = block.of_label(row["_label"])
+        others = [slice(0, own.start), slice(own.stop, len(block.rows))]
         ranges = [score_range(x["_score"], low, high) for x in row["_ranges"]]
-        for x, (some, scores) in zip(
-            row["_ranges"], block.search(np.array(row["_v"]), eligible, ranges, negatives), strict=True
-        ):
+        found = block.search(row["_uid"], vector, turned, others, ranges, negatives)
+        for x, (some, scores) in zip(row["_ranges"], found, strict=True):
             for at, score in zip(some.tolist(), scores.tolist(), strict=True):
                 yield row["_uid"], x["_at"], int(block.ids[at]) if block.known[at] else None, int(block.uids[at]), score
 

@@ -73,7 +73,7 @@ def test_intervals_hold_every_score(dim):
     block = Block(np.arange(len(rows)), np.arange(len(rows)), np.ones(len(rows), bool), np.zeros(len(rows)), rows, *encode(rows))
     widths = []
     for vector in rows[::7]:
-        some, sums, query = np.arange(len(rows)), np.zeros(len(rows)), Query(vector)
+        some, sums, query = np.arange(len(rows)), 0.0, Query(rotate(vector[None])[0])
         for level in range(len(block.codes)):
             sums, low, high = block.refine(query, level, some, sums)
             scores = rows @ vector
@@ -88,10 +88,11 @@ def test_codes_rule_out_most_pairs():
     rng = np.random.default_rng(9)
     rows = np.floor(256 * rng.normal(0, 0.125, (6000, 64)))
     block = Block(np.arange(6000), np.arange(6000), np.ones(6000, bool), np.zeros(6000), rows, *encode(rows))
+    turned = rotate(rows[:30])
     for q in range(30):
         exact = rows @ rows[q]
         exact[q] = -np.inf
-        ((some, scores),) = block.search(rows[q], np.arange(6000) != q, [(-(1 << 63), (1 << 63) - 1)], 5)
+        ((some, scores),) = block.search(q, rows[q], turned[q], [slice(0, 6000)], [(-(1 << 63), (1 << 63) - 1)], 5)
         assert some.tolist() == np.lexsort((np.arange(6000), -exact))[:5].tolist() and (scores == exact[some]).all()
     assert block.scored < 0.2 * block.pairs
 
