@@ -6,6 +6,95 @@ _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+# crc32 of an ASCII text, bit by bit
+_CRC32 = """xor(list_reduce(
+    list_transform(range(length({0})), lambda i: cast(ord(substr({0}, cast(i + 1 as integer), 1)) as bigint)),
+    lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+        lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(c, b)),
+    cast(4294967295 as bigint)), 4294967295)"""
+
+
+def _state(state: str, cost: str, initial: str, turn: str = "''") -> str:
+    """A state's cost, audit and turns after one more edit."""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{initial}', 't': {state}.t || {turn}}}"
+
+
+def _kept(state: str, initial: str) -> str:
+    return _state(state, f"case when fault in (0, 3) and initial = '{initial}' then late else 1000000 end", "K", "chr(10) || role || ':' || text")
+
+
+def _put(state: str, role: str) -> str:
+    return _state(state, "case when fault in (0, 3) then 2 + late else 1000000 end", "R", f"chr(10) || '{role}:' || text")
+
+
+def _inserted(state: str, role: str) -> str:
+    return _state(state, "2", "I", f"chr(10) || '{role}:'")
+
+
+_REPAIR = f"""
+    with recursive
+    source as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+            coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k
+        from conversations
+    ),
+    kinds as (select *, {_CRC32.format("k")} % 20 as kind from source),
+    damaged as (
+        select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+            case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+            unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+        from kinds where kind <> 0
+    ),
+    numbered as (
+        select *, substr(role, 1, 1) as initial, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare,
+            row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as n
+        from damaged
+    ),
+    marked as (
+        select *,
+            case when bare = '' then 1
+                when row_number() over (partition by conv_id, role, text order by n) > 1 then 2
+                when right(bare, 1) not in ('.', '!', '?') then 3 else 0 end as fault,
+            lag(initial) over (partition by conv_id order by n) || initial as pair
+        from numbered
+    ),
+    rows_ as (select *, cast(fault = 3 as integer) as late from marked),
+    steps as (
+        select conv_id, cast(0 as bigint) as n, {{'c': 0, 'a': '', 't': ''}} as q0, {{'c': 1000000, 'a': '', 't': ''}} as qs,
+            {{'c': 2, 'a': 'I', 't': chr(10) || 'user:'}} as qu,
+            {{'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} as qa
+        from (select distinct conv_id from rows_)
+        union all
+        select conv_id, n, q0, qs, qu, least(na, {_inserted("qu", "assistant")}) as qa from (
+            select conv_id, n, q0, qs, na,
+                least(nu, {_inserted("q0", "user")}, {_inserted("qs", "user")}, {_inserted("na", "user")}) as qu
+            from (
+                select s.conv_id, r.n, {_state("q0", "3", "D")} as q0,
+                    least({_state("qs", "3", "D")}, {_kept("q0", "s")}) as qs,
+                    least({_state("qu", "3", "D")}, {_kept("q0", "u")}, {_kept("qs", "u")}, {_kept("qa", "u")},
+                        {_put("q0", "user")}, {_put("qs", "user")}, {_put("qa", "user")}) as nu,
+                    least({_state("qa", "3", "D")}, {_kept("qu", "a")}, {_put("qu", "assistant")}) as na
+                from steps s join rows_ r on s.conv_id = r.conv_id and r.n = s.n + 1
+            )
+        )
+    ),
+    best as (
+        select conv_id, least(q0, qa) as b from steps
+        qualify row_number() over (partition by conv_id order by n desc) = 1
+    ),
+    counts as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(fault = 1) as blank,
+            count_if(fault = 2) as duplicate, count_if(fault = 3) as truncated,
+            count_if(pair not in ('su', 'ua', 'au')) as illegal
+        from rows_ group by conv_id
+    )
+    select i.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+        cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+        cast(coalesce(illegal, 0) as bigint) as illegal, cast(coalesce(b.c, 0) as bigint) as cost, coalesce(b.a, '') as audit,
+        sha256(coalesce(substr(b.t, 2), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) i left join counts using (conv_id) left join best using (conv_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": f"""
         with texts as (select doc_id, {_LOWER} as t from documents),
@@ -37,6 +126,7 @@ ORACLE_SQL: dict[str, str] = {
         select anchor_id, positive_id, cast(r as integer) as rank, negative_id, positive_score, negative_score
         from negatives where r <= 3
     """,
+    "op13_conversations": _REPAIR,
     "op9_topk": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brokerhouse.llm import (
     bpe,
+    conversations,
     exact_dedup,
     hard_negatives,
     language_id,
@@ -108,6 +109,11 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.shifted_labels(_table(spark, folder, "embeddings")))
 
 
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    return conversations.repaired(conversations.damaged(turns), turns)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,5 +132,6 @@ QUERIES: dict[str, Query] = {
     "op9_topk": op9_topk,
     "op10_language": op10_language,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_conversations": op13_conversations,
     "pipeline": pipeline,
 }
