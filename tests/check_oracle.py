@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from pyspark.sql import DataFrame  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem documents embeddings".split()
+TABLES = "region nation customer supplier part orders lineitem documents embeddings conversations labels pages benchmark".split()
 
 
 def _plain(value):
