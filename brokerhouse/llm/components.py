@@ -12,7 +12,8 @@ def components(links: DataFrame) -> DataFrame:
     """`node` and `component` (its least node) for every node of the links (`a`, `b`); each round is a written table.
 
     Large star: every greater neighbour is linked with the least neighbour. Small star: every smaller neighbour is.
-    Both only need a least value per node, combined before the shuffle, so a node with very many links is no burden.
+    Both only need a least value per node, combined before the shuffle and written before it meets the links, so a node
+    with very many links is no burden.
     """
     edges = materialize(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -20,10 +21,11 @@ def components(links: DataFrame) -> DataFrame:
     mark = _mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written before it is joined: the links of a node with very many can then be split
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialize(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         last, mark = mark, _mark(edges)
