@@ -95,6 +95,41 @@ _REPAIR = f"""
     from (select distinct conv_id from conversations) i left join counts using (conv_id) left join best using (conv_id)
 """
 
+
+def _near_classes(percent: int, kept: str) -> str:
+    """Sets of shingles of three words, links by Jaccard similarity, and the least id of each component."""
+    return f"""
+        with recursive
+        words as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents
+        ),
+        runs as (
+            select doc_id, unnest(
+                case when len(w) >= 3 then list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as run
+            from words
+        ),
+        shingles as (select distinct doc_id, md5_number(run) as run from runs),
+        sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+        shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as m
+            from shingles a join shingles b on a.run = b.run and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+        ),
+        links as (
+            select a, b from shared join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+            where 100 * m >= {percent} * (x.n + y.n - m)
+        ),
+        reach as (
+            select distinct a as doc_id, a as other from links
+            union
+            select reach.doc_id, links.b from reach join links on reach.other = links.a
+        ),
+        least as (select doc_id, min(other) as least from reach group by doc_id)
+        select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, coalesce(least, doc_id) as component_id{kept}
+        from (select doc_id from documents) left join sizes using (doc_id) left join least using (doc_id)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": f"""
         with texts as (select doc_id, {_LOWER} as t from documents),
@@ -102,6 +137,8 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
         from texts join groups using (t)
     """,
+    "op7_ngram_join": _near_classes(90, ""),
+    "op12_minhash_dedup": _near_classes(85, ", doc_id = coalesce(least, doc_id) as kept"),
     "op11_hard_negatives": """
         with v as (
             select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,

@@ -14,6 +14,7 @@ from brokerhouse.llm import (
     exact_dedup,
     hard_negatives,
     language_id,
+    minhash_dedup,
     mixing,
     ngram_join,
     pii,
@@ -109,6 +110,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.shifted_labels(_table(spark, folder, "embeddings")))
 
 
+def op12_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, folder, "documents"), words=3, percent=85)
+
+
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations")
     return conversations.repaired(conversations.damaged(turns), turns)
@@ -132,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op9_topk": op9_topk,
     "op10_language": op10_language,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_conversations": op13_conversations,
     "pipeline": pipeline,
 }

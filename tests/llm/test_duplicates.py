@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from brokerhouse.llm import exact_dedup, ngram_join
+from brokerhouse.llm import exact_dedup, linking, minhash_dedup, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NAMES = "doc_id long, text string, _sha int"
@@ -74,9 +74,49 @@ def test_classes_equal_brute_force(spark, monkeypatch, size, percent, hot):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute_classes(rows, size, percent)
 
 
+@pytest.mark.parametrize(("size", "percent", "meeting"), [(3, 85, 16), (5, 80, 512)])
+def test_tensored_bands_equal_brute_force(spark, monkeypatch, size, percent, meeting):
+    monkeypatch.setattr(minhash_dedup, "MEETING", meeting)
+    rows = corpus() + [(3000 + k, "long " + " ".join(f"w{j % 977}" for j in range(60_000)) + f" end{k % 2}", 0) for k in range(3)]
+    found = minhash_dedup.near_duplicates(spark.createDataFrame(rows, NAMES).repartition(5), size, percent).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == brute_classes(rows, size, percent)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_bands_collide_as_often_as_reckoned():
+    rng = np.random.default_rng(5)
+    for share, least, most in ((0.3, 0.02, 0.12), (0.5, 0.4, 0.68), (0.85, 0.99, 1)):
+        met, n = 0, 60
+        for _ in range(200):
+            pool = rng.integers(0, 1 << 63, 3 * n, dtype=np.uint64)
+            same = round(share * n)
+            one, two = pool[:n], np.concatenate([pool[:same], pool[n : n + (n - same)]])
+            alike = round(100 * same / (2 * n - same))
+            x, y = minhash_dedup.bands(one), minhash_dedup.bands(two)
+            table = np.isin(minhash_dedup.table_keys(*x), minhash_dedup.table_keys(*y)).any()
+            assert table == ((x == y).any(1).all())
+            met += table
+        expected = (1 - (1 - (alike / 100) ** minhash_dedup.DEPTH) ** minhash_dedup.SIDE) ** 2
+        assert abs(met / 200 - expected) < 0.12
+
+
+def test_values_are_tallied_exactly(spark, monkeypatch):
+    monkeypatch.setattr(linking, "SLOT", 100)
+    rng = np.random.default_rng(6)
+    rows = [rng.choice(900, int(rng.integers(0, 40)), replace=False).astype(np.uint64) << np.uint64(54) for _ in range(300)]
+    packed = spark.createDataFrame([(r.tobytes(),) for r in rows] + [(None,)], "values binary").repartition(4)
+    values, times = np.unique(np.concatenate(rows), return_counts=True)
+    found = linking.tallied(packed, "values", 6000, 3).collect()
+    assert sorted((r._value, r._times) for r in found) == sorted(
+        (int(v), int(t)) for v, t in zip(values.view(np.int64), times) if t >= 3
+    )
+    assert linking.tallied(packed.limit(0), "values", 0).count() == 0
+
+
 def test_no_rows(spark):
     empty = spark.createDataFrame([], NAMES)
     assert ngram_join.classes(empty).count() == 0
+    assert minhash_dedup.near_duplicates(empty).count() == 0
     assert exact_dedup.duplicates(empty).count() == 0
 
 
