@@ -509,7 +509,12 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "fact_cash_replace": _reload(TRADE_CTES, CASH, "* REPLACE ('USD' AS currency_code)"),
     "fact_settlements_replace": _reload(TRADE_CTES, SETTLEMENTS, "* REPLACE ('SETTLED' AS settlement_status)"),
-    "fact_holdings_replace": _with(HOLDING_CTES, f"SELECT * FROM holdings WHERE business_date <> {RELOADED_DAY}"),
+    "fact_holdings_replace": _reload(
+        HOLDING_CTES,
+        "SELECT * FROM holdings",
+        """* REPLACE (CAST(holding_quantity + 1 AS DECIMAL(18,2)) AS holding_quantity,
+                      CAST(market_value + market_price AS DECIMAL(18,2)) AS market_value)""",
+    ),
     **{name: _with(DQ_CTES, sql) for name, sql in DQ.items()},
     "dq_summary": _with(SUMMARY_CTES, "SELECT * FROM summary"),
     "pipeline_status": _with(

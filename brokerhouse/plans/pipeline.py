@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brokerhouse.operators import dimensions as dims
 from brokerhouse.operators import quality
+from brokerhouse.operators.constraints import require_no_nulls, watch_nulls
 from brokerhouse.operators.facts import day_slice
 from brokerhouse.operators.lifecycle import add_business_date, add_trade_measures
 from brokerhouse.operators.scd2 import carry_over, fresh_rows, open_versions
@@ -19,7 +21,9 @@ from brokerhouse.plans import rulesets
 from brokerhouse.schemas import (
     ACCOUNT,
     ADVISOR,
+    AUDIT,
     CUSTOMER,
+    DIMENSIONS,
     FACTS,
     FEEDS,
     MASTER_FEEDS,
@@ -29,7 +33,7 @@ from brokerhouse.schemas import (
     Fact,
     History,
 )
-from brokerhouse.sources.curated import write_csv, write_json, write_parquet
+from brokerhouse.sources.curated import write_by_day, write_csv, write_json, write_parquet
 from brokerhouse.sources.feeds import day_path, read_text_csv, reference_root, typed
 from brokerhouse.sources.warehouse import Snapshot, open_warehouse
 from brokerhouse.sources.work import materialize
@@ -139,6 +143,60 @@ def check(spark: SparkSession, places: Places, business_date: str) -> None:
 # Load.
 
 
+def publish(rows: DataFrame, path: str, schema: T.StructType, table: str) -> None:
+    """Write rows of a load; nulls where the table has none fail it, by column and count, before it is visible."""
+    watched, nulls = watch_nulls(rows, schema)
+    write_parquet(watched, path)
+    require_no_nulls(nulls, schema, table)
+
+
+def write_slice(after: Snapshot, spec: Fact, rows: DataFrame, business_date: str) -> None:
+    """The slice of one day, from rows as they were curated."""
+    typed_rows = day_slice(rows, spec.schema, business_date).sortWithinPartitions(*spec.sort_key)
+    path = after.path(spec.table, f"business_date={business_date}", f"load_id={after.last_load}")
+    watched, nulls = watch_nulls(typed_rows, spec.schema)
+    write_parquet(watched.drop("business_date"), path)
+    require_no_nulls(nulls, spec.schema, spec.table)
+
+
+def load_facts(spark: SparkSession, warehouse: str, business_date: str, rows: Mapping[str, DataFrame]) -> Snapshot:
+    """Replace a day's slice of some facts, whichever days were loaded since.
+
+    Other days, other facts, dimensions and histories stay as they are.
+    """
+    after = open_warehouse(spark, warehouse).next_facts({business_date: tuple(rows)})
+    together(*[partial(write_slice, after, FACTS[name], df, business_date) for name, df in rows.items()])
+    after.finish()
+    return after
+
+
+def reload_facts(spark: SparkSession, places: Places, business_date: str, names: Sequence[str] = tuple(FACTS)) -> Snapshot:
+    """Take corrected curated files of an earlier (or the same) day into some facts."""
+    rows = {name: curated(spark, places, business_date, FACTS[name].feed) for name in names}
+    return load_facts(spark, places.warehouse, business_date, rows)
+
+
+def backfill(spark: SparkSession, warehouse: str, rows: Mapping[str, DataFrame]) -> Snapshot:
+    """Fill many days of facts in at once, one write a fact; of every day found, the fact's whole slice is replaced."""
+    before = open_warehouse(spark, warehouse)
+    load_id, days = before.last_load + 1, {}
+
+    def fill(spec: Fact, df: DataFrame) -> None:
+        found = F.collect_set(F.col("business_date").cast("string"))  # as many as there will be folders
+        watched, nulls = watch_nulls(typed(df, spec.schema, empty_ok=True), spec.schema, _days=found)
+        dated = watched.withColumn("load_id", F.lit(load_id))
+        write_by_day(dated, before.path(spec.table), below=("load_id",), order=spec.sort_key)
+        require_no_nulls(nulls, spec.schema, spec.table)
+        days[spec.table] = set(nulls.get.get("_days") or ())
+
+    together(*[partial(fill, FACTS[name], df) for name, df in rows.items()])
+    covered = {day: tuple(sorted(n for n in days if day in days[n])) for day in set().union(*days.values())}
+    after = before.next_facts(covered)
+    if covered:
+        after.finish()
+    return after
+
+
 def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
     """Load one day: dimensions parents first, histories and facts beside them, the log row last."""
     before = open_warehouse(spark, places.warehouse)
@@ -155,7 +213,7 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
     stages_of = {name: staged if name in FEEDS else reference for name in dims.REQUIRED}
 
     def add(table: str, rows: DataFrame) -> DataFrame:
-        write_parquet(rows, after.path(table, load_id))
+        publish(rows, after.path(table, load_id), DIMENSIONS.get(table, AUDIT), table)
         return after.table(table)
 
     def dates() -> None:
@@ -181,12 +239,10 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         carried.write.mode("overwrite").partitionBy("is_current").parquet(path)
         fresh = fresh_rows(stage, after.kept(spec.table), spec)
         opened = open_versions(fresh, spec, business_date, before.ever_opened(spec.table))
-        write_parquet(opened, after.path(spec.table, "opened", load_id))
+        publish(opened, after.path(spec.table, "opened", load_id), DIMENSIONS[spec.table], spec.table)
 
     def fact(spec: Fact) -> None:
-        rows = day_slice(curated(spark, places, business_date, spec.feed), spec.schema, business_date)
-        path = after.path(spec.table, f"business_date={business_date}", load_id)
-        write_parquet(rows.drop("business_date").sortWithinPartitions(*spec.sort_key), path)
+        write_slice(after, spec, curated(spark, places, business_date, spec.feed), business_date)
 
     def audit() -> None:
         summary = spark.read.schema("dataset_name string, failed_rule_outcomes bigint, dataset_status string").json(

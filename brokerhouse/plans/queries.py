@@ -8,16 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerhouse.functions.calendar import run_date
+from brokerhouse.functions.money import to_money
 from brokerhouse.operators import dimensions as dims
 from brokerhouse.operators import lifecycle, quality
-from brokerhouse.operators.facts import replace_day
 from brokerhouse.operators.scd2 import apply_scd2
 from brokerhouse.plans import analytics, rulesets
 from brokerhouse.plans.landing import load_report
-from brokerhouse.schemas import ACCOUNT, ADVISOR, CUSTOMER, DIMENSIONS, FACTS, History
+from brokerhouse.plans.pipeline import backfill, load_facts
+from brokerhouse.schemas import ACCOUNT, ADVISOR, CUSTOMER, DIMENSIONS, History
 from brokerhouse.sources import tables
 from brokerhouse.sources.tables import FIRST_DAY, SECOND_DAY
-from brokerhouse.sources.work import no_rows
+from brokerhouse.sources.warehouse import open_warehouse
+from brokerhouse.sources.work import new_path, no_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -175,9 +177,13 @@ def business_run_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reload(spark: SparkSession, name: str, rows: DataFrame, corrected: DataFrame) -> DataFrame:
-    """Load all days, then load one day again with corrected rows given as text."""
+    """Fill all days into a warehouse, load one of them, earlier than others, again with corrected rows given as text, and
+    read the fact back."""
+    root = new_path(spark)
+    backfill(spark, root, {name: rows})
     day = F.col("business_date") == F.lit(RELOADED_DAY).cast("date")
-    return replace_day(rows, tables.as_text(corrected.where(day)), FACTS[name].schema, RELOADED_DAY)
+    load_facts(spark, root, RELOADED_DAY, {name: tables.as_text(corrected.where(day))})
+    return open_warehouse(spark, root).table(name)
 
 
 def fact_orders_replace(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,8 +211,13 @@ def fact_settlements_replace(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_holdings_replace(spark: SparkSession, folder: str) -> DataFrame:
     rows = holdings_eod(spark, folder)
-    # The corrected day has no positions left: its slice must be empty afterwards.
-    return _reload(spark, "fact_daily_holdings", rows, rows.where("holding_quantity < 0"))
+    corrected = rows.withColumns(
+        {
+            "holding_quantity": to_money(F.col("holding_quantity") + 1),
+            "market_value": to_money(F.col("market_value") + F.col("market_price")),
+        }
+    )
+    return _reload(spark, "fact_daily_holdings", rows, corrected)
 
 
 # Data quality.

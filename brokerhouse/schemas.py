@@ -22,6 +22,11 @@ def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+def _required(schema: T.StructType, but: tuple[str, ...] = ()) -> T.StructType:
+    """The columns as not null, all of them or all `but` a few."""
+    return T.StructType([T.StructField(f.name, f.dataType, f.name in but) for f in schema.fields])
+
+
 # Daily feeds, dated by folder.
 FEEDS: dict[str, T.StructType] = {
     "customers_snapshot": _table(
@@ -84,7 +89,7 @@ HOLDINGS_FACT_COLUMNS = (
 
 _VERSION = {"record_start_date": DATE, "record_end_date": DATE, "is_current": TEXT}
 
-DIMENSIONS: dict[str, T.StructType] = {
+_DIMENSIONS: dict[str, T.StructType] = {
     "dim_country": _table(country_key=KEY, country_name=TEXT),
     "dim_state": _table(state_key=KEY, state_name=TEXT, country_key=KEY),
     "dim_city": _table(city_key=KEY, city_name=TEXT, state_key=KEY),
@@ -109,6 +114,11 @@ DIMENSIONS: dict[str, T.StructType] = {
         account_status=TEXT, opened_date=DATE, **_VERSION,
     ),
 }
+# What a version describes may be unknown; its keys, dates and flag may not. Everything else is not null.
+DIMENSIONS: dict[str, T.StructType] = {
+    name: _required(schema, tuple(schema.names[2:-3]) if name.endswith("_scd2") else ())
+    for name, schema in _DIMENSIONS.items()
+}
 
 
 @dataclass(frozen=True)
@@ -151,7 +161,7 @@ HISTORIES = (ADVISOR, CUSTOMER, ACCOUNT)
 
 @dataclass(frozen=True)
 class Fact:
-    """A fact table: the curated dataset it loads and the order of rows within a day's files."""
+    """A fact table: the curated dataset it loads and the order of rows within a day's files. No column may be null."""
 
     table: str
     feed: str
@@ -172,13 +182,15 @@ def _holdings_fact() -> T.StructType:
 FACTS: dict[str, Fact] = {
     f.table: f
     for f in (
-        Fact("fact_orders", "orders", FEEDS["orders"], ("account_id",)),
-        Fact("fact_trades", "trades", _trade_fact(), ("trade_timestamp",)),
-        Fact("fact_fund_movements", "fund_movements", FEEDS["fund_movements"], ("account_id",)),
-        Fact("fact_settlements", "settlements", FEEDS["settlements"], ("settlement_date",)),
-        Fact("fact_daily_holdings", "holdings_snapshot", _holdings_fact(), ("account_id", "instrument_id")),
+        Fact("fact_orders", "orders", _required(FEEDS["orders"]), ("account_id",)),
+        Fact("fact_trades", "trades", _required(_trade_fact()), ("trade_timestamp",)),
+        Fact("fact_fund_movements", "fund_movements", _required(FEEDS["fund_movements"]), ("account_id",)),
+        Fact("fact_settlements", "settlements", _required(FEEDS["settlements"]), ("settlement_date",)),
+        Fact("fact_daily_holdings", "holdings_snapshot", _required(_holdings_fact()), ("account_id", "instrument_id")),
     )
 }
 
 REJECTS = _table(business_date=DATE, dataset_name=TEXT, reason=TEXT, staged_row=TEXT)
-AUDIT = _table(audit_run_ts=MOMENT, business_date=DATE, dataset_name=TEXT, pipeline_status=TEXT, finding_count=COUNT)
+AUDIT = _required(
+    _table(audit_run_ts=MOMENT, business_date=DATE, dataset_name=TEXT, pipeline_status=TEXT, finding_count=COUNT), ("audit_run_ts",)
+)

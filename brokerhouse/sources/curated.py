@@ -18,12 +18,18 @@ def write_json(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     df.write.mode("overwrite").partitionBy(*by).json(path)
 
 
-def write_by_day(df: DataFrame, path: str, format: str = "parquet") -> None:
-    """One folder per business date; a day without rows gets none.
-
-    Rows are rebalanced by date: small days share a task, and a day too big for
-    one task is split over several, each writing its own files.
+def write_by_day(
+    df: DataFrame, path: str, format: str = "parquet", below: tuple[str, ...] = (), order: tuple[str, ...] = ()
+) -> None:
+    """One folder per business date (and, in it, per value of the columns `below`); a day without rows gets none.
+
+    Rows are rebalanced by date, so years of days make few files: small days share a task, and a day too big for
+    one task is split over several, each writing its own files, sorted by `order`. With `below`, only the folders
+    that get rows are replaced; else the whole path is.
     """
-    spread = df.hint("rebalance", F.col("business_date"))
-    writer = spread.write.mode("overwrite").partitionBy("business_date")
+    by = ("business_date", *below)
+    spread = df.hint("rebalance", F.col("business_date")).sortWithinPartitions(*by, *order)
+    writer = spread.write.mode("overwrite").partitionBy(*by)
+    if below:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     (writer.option("header", True) if format == "csv" else writer).format(format).save(path)

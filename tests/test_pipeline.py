@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brokerhouse.plans import analytics
-from brokerhouse.plans.pipeline import Places, check, curate, load, run_day
+from brokerhouse.plans.pipeline import Places, backfill, check, curate, load, load_facts, reload_facts, run_day
 from brokerhouse.schemas import DIMENSIONS, FACTS, FEEDS, HISTORIES
 from brokerhouse.sources.warehouse import open_warehouse
 
@@ -381,6 +381,87 @@ def test_rows_of_another_day_and_older_dates_are_refused(spark, tmp_path):
         load(spark, where, D1)
 
 
+def test_facts_of_an_earlier_day_are_reloaded_alone(spark, tmp_path):
+    write_reference(tmp_path, ADVISORS)
+    raw, where = tmp_path / "raw", places(tmp_path)
+    trade = lambda day, price: [_trade(day, 1, "BUY", "10", price, "INS1")]
+    for day, band in ((D1, "LOW"), (D2, "HIGH"), (D3, "LOW")):
+        write_day(raw, day, [_customer("C1", band)], [_account("A1")], trade(day, "100.00"))
+        run_day(spark, where, day)
+    before = open_warehouse(spark, where.warehouse)
+    old = _contents(before)
+    write_day(raw, D1, [_customer("C1", "HIGH")], [_account("A1", "INTRADAY")], [*trade(D1, "90.00"), _trade(D1, 2, "BUY", "1", "5.00", "INS2")],
+              settlements=[])
+    curate(spark, where, D1)
+    now = reload_facts(spark, where, D1, ["fact_trades", "fact_settlements"])
+    assert now.last_load == 4 and open_warehouse(spark, where.warehouse).loads == now.loads
+    new = _contents(now)
+    touched = {"fact_trades", "fact_settlements"}
+    assert {name for name in old if old[name] != new[name]} == touched
+    for name in touched:  # later days are as they were
+        assert sorted(map(str, now.fact(name, D2).collect())) == sorted(map(str, before.fact(name, D2).collect()))
+    assert sorted((r.executed_price, r.executed_quantity) for r in now.fact("fact_trades", D1, D1).collect()) == [(5, 1), (90, 10)]
+    assert now.fact("fact_settlements", D1, D1).count() == 0
+    assert _contents(now.as_of(3)) == old
+    # the daily run goes on, and is still refused for an earlier day
+    after = run_day(spark, where, D3)
+    assert after.last_load == 5 and after.fact("fact_trades", D1, D1).count() == 2
+    assert {name: rows for name, rows in _contents(after).items() if name != "fact_trades"} == {
+        name: rows for name, rows in new.items() if name != "fact_trades"
+    }
+    with pytest.raises(ValueError, match="2026-04-20 is before 2026-04-21"):
+        load(spark, where, D2)
+
+
+def _fact_row(name: str, day: str, k: int) -> dict:
+    values = {"string": f"v{k}", "date": day, "timestamp_ntz": f"{day} 10:00:00", "int": str(k), "decimal(18,2)": f"{k}.50"}
+    row = {f.name: values[f.dataType.simpleString()] for f in FACTS[name].schema.fields}
+    return {**row, "business_date": day}
+
+
+def _text_rows(spark, name: str, dicts: list[dict]):
+    columns = FACTS[name].schema.names
+    return spark.createDataFrame([tuple(r[c] for c in columns) for r in dicts], ", ".join(f"{c} string" for c in columns))
+
+
+@pytest.mark.parametrize("name", list(FACTS))
+def test_a_null_in_any_column_of_a_fact_fails_the_load(spark, tmp_path, name):
+    root, columns = str(tmp_path / "warehouse"), [c for c in FACTS[name].schema.names if c != "business_date"]
+    fine = [_fact_row(name, D1, k) for k in range(3)]
+    load_facts(spark, root, D1, {name: _text_rows(spark, name, fine)})
+    broken = [{**_fact_row(name, D1, k), c: None} for k, c in enumerate(columns)] + [{**fine[0], columns[0]: None}]
+    listed = ", ".join(f"{c} ({1 + (c == columns[0])})" for c in sorted(columns))
+    for write in (lambda df: load_facts(spark, root, D1, {name: df}), lambda df: backfill(spark, root, {name: df})):
+        with pytest.raises(ValueError) as failed:
+            write(_text_rows(spark, name, [*fine, *broken]))
+        assert str(failed.value) == f"{name}: nulls in columns that must have values: {listed}"
+    with pytest.raises(Exception, match="row of another day in 2026-04-19: no date"):
+        load_facts(spark, root, D1, {name: _text_rows(spark, name, [{**fine[0], "business_date": None}])})
+    now = open_warehouse(spark, root)
+    assert now.last_load == 1 and now.table(name).count() == 3
+    assert now.table(name).dtypes == [(f.name, f.dataType.simpleString()) for f in FACTS[name].schema.fields]
+
+
+def test_years_of_days_are_filled_in_at_once(spark, tmp_path):
+    root, name = str(tmp_path / "warehouse"), "fact_orders"
+    first = dt.date(2024, 1, 1)
+    days = [str(first + dt.timedelta(k)) for k in range(500)]
+    rows = [_fact_row(name, day, k) for k, day in enumerate(days)] + [_fact_row(name, days[3], k) for k in range(3000)]
+    load_facts(spark, root, days[7], {name: _text_rows(spark, name, [_fact_row(name, days[7], k) for k in range(50)])})
+    load_facts(spark, root, D1, {name: _text_rows(spark, name, [_fact_row(name, D1, 1)])})
+    now = backfill(spark, root, {name: _text_rows(spark, name, rows).repartition(6)})
+    assert now.last_load == 3 and len(now.loads) == 502
+    counts = {str(r[0]): r[1] for r in now.table(name).groupBy("business_date").count().collect()}
+    assert counts == {**dict.fromkeys(days, 1), days[3]: 3001, D1: 1}
+    files = [len(list((tmp_path / "warehouse" / name / f"business_date={d}" / "load_id=3").glob("*.parquet"))) for d in days]
+    assert min(files) == 1 and sum(files) <= 520  # not a file per task and day
+    assert now.as_of(2).table(name).count() == 51
+    again = backfill(spark, root, {name: _text_rows(spark, name, rows[:10]).where("order_id <> 'v3'")})
+    assert again.last_load == 4 and again.table(name).count() == 499 + 3001 + 1
+    nothing = backfill(spark, root, {name: _text_rows(spark, name, rows[:1]).where("false")})
+    assert nothing.last_load == 4 and open_warehouse(spark, root).loads == again.loads
+
+
 def test_missing_column_stops_before_anything_is_written(spark, tmp_path):
     write_reference(tmp_path, ADVISORS)
     raw = tmp_path / "raw"
