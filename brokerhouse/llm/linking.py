@@ -37,8 +37,8 @@ MEETING, AT_ONCE = 512, 32_768
 MEETS, IS_MET, MINOR = 1, 2, 4
 #: Words of a filter, at least and at most (64 megabytes).
 FEW_WORDS, MOST_WORDS = 1 << 14, 1 << 23
-#: Keys that one slot of a tally should hold.
-SLOT = 1 << 21
+#: Keys that one slot of a tally should hold, and slots there are at least, as a power of two: many, so that tasks get like shares.
+SLOT, SLOT_BITS = 1 << 21, 9
 
 
 def digest(found: np.ndarray) -> tuple[int, int]:
@@ -192,7 +192,7 @@ def tallied(packed: DataFrame, column: str, number: int, least: int = 2) -> Data
 
     `number`: about how many values there are. Values travel packed, eight bytes each with their counts, added up before.
     """
-    bits = max(5, math.ceil(math.log2(max(2, number / SLOT))))
+    bits = max(SLOT_BITS, math.ceil(math.log2(max(2, number / SLOT))))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1 << 15):
