@@ -24,8 +24,8 @@ from brokerhouse.schemas import HOLDINGS_FACT_COLUMNS
 _TEXT_QUANTITY = "decimal(15,4)"
 _TEXT_AMOUNT = "decimal(22,6)"
 
-# Every so many trades of a day one settlement is still pending.
-PENDING_EVERY = 10
+# What a settlement is until somebody confirms it.
+UNCONFIRMED = "PENDING"
 
 
 def add_trade_measures(trades: DataFrame) -> DataFrame:
@@ -74,16 +74,20 @@ def cash_flows(trades: DataFrame) -> DataFrame:
     )
 
 
-def next_day_settlements(trades: DataFrame) -> DataFrame:
-    """One settlement per trade, due the next calendar day; number and status follow the trade's own number."""
-    sequence = id_number(TRADE_ID, F.col("trade_id"))
-    pending = sequence % PENDING_EVERY == 0
-    return trades.select(
-        numbered_id(SETTLEMENT_ID, sequence).alias("settlement_id"),
+def next_day_settlements(trades: DataFrame, confirmations: DataFrame) -> DataFrame:
+    """One settlement per trade, due the next calendar day, with the status that was confirmed for it.
+
+    `confirmations` holds `business_date`, `trade_id` (unique only within a day) and `settlement_status`. Several of one
+    trade count as the greatest of them by name, so SETTLED goes before PENDING; none leaves it unconfirmed.
+    """
+    key = ["business_date", "trade_id"]
+    known = confirmations.groupBy(*key).agg(F.max("settlement_status").alias("_confirmed"))
+    return trades.select(*key).join(known, key, "left").select(
+        numbered_id(SETTLEMENT_ID, id_number(TRADE_ID, F.col("trade_id"))).alias("settlement_id"),
         "trade_id",
         "business_date",
         next_calendar_day(F.col("business_date")).alias("settlement_date"),
-        F.when(pending, "PENDING").otherwise("SETTLED").alias("settlement_status"),
+        F.coalesce("_confirmed", F.lit(UNCONFIRMED)).alias("settlement_status"),
     )
 
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from brokerhouse.functions.money import TOTAL, number
@@ -24,8 +23,8 @@ class IsComplete:
     def __str__(self) -> str:
         return f'IsComplete "{self.column}"'
 
-    def failures(self, df: DataFrame) -> Column:
-        return F.count_if(F.col(self.column).isNull())
+    def fails(self, df: DataFrame) -> Column:
+        return F.col(self.column).isNull()
 
 
 @dataclass(frozen=True)
@@ -37,11 +36,6 @@ class IsUnique:
     def __str__(self) -> str:
         return f'IsUnique "{self.column}"'
 
-    def surplus(self, df: DataFrame) -> DataFrame:
-        """One row: how many rows go beyond the first of their value."""
-        per_value = df.select(self.column).where(F.col(self.column).isNotNull()).groupBy(self.column).count()
-        return per_value.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
-
 
 @dataclass(frozen=True)
 class AllowedValues:
@@ -55,7 +49,7 @@ class AllowedValues:
         listed = ", ".join(f'"{v}"' for v in self.values)
         return f'ColumnValues "{self.column}" in [{listed}]'
 
-    def failures(self, df: DataFrame) -> Column:
+    def fails(self, df: DataFrame) -> Column:
         return _not_true(F.col(self.column).isin(*self.values), self, F.col(self.column))
 
 
@@ -71,7 +65,7 @@ class Above:
     def __str__(self) -> str:
         return f'ColumnValues "{self.column}" {">=" if self.inclusive else ">"} {self.bound}'
 
-    def failures(self, df: DataFrame) -> Column:
+    def fails(self, df: DataFrame) -> Column:
         value = number(df, self.column, "decimal(38,10)")
         return _not_true(value >= self.bound if self.inclusive else value > self.bound, self, F.col(self.column))
 
@@ -81,31 +75,84 @@ Rule = IsComplete | IsUnique | AllowedValues | Above
 
 def _not_true(test: Column, rule: AllowedValues | Above, value: Column) -> Column:
     holds = F.coalesce(test, F.lit(False))
-    return F.count_if(~(holds | value.isNull()) if rule.null_ok else ~holds)
+    return ~(holds | value.isNull()) if rule.null_ok else ~holds
+
+
+Rulesets = Mapping[str, Sequence[Rule]]
+#: How many rows there are, and how many fail each rule.
+Counts = Mapping[Rule | None, int]
+
+
+def _distinct(rulesets: Rulesets) -> tuple[list[Rule], list[IsUnique]]:
+    """Rules on single rows, and rules that compare rows; those shared by several rulesets once."""
+    rules = list(dict.fromkeys(rule for own in rulesets.values() for rule in own))
+    return [r for r in rules if not isinstance(r, IsUnique)], [r for r in rules if isinstance(r, IsUnique)]
+
 
+def row_rules(rulesets: Rulesets) -> list[Rule]:
+    """The rules that `watch_rows` counts."""
+    return _distinct(rulesets)[0]
 
-def evaluate(df: DataFrame, rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
-    """Check one dataset against named rulesets. Rules shared by them are counted once.
 
-    All row checks are one aggregate that combines before its shuffle of one row per task.
-    A uniqueness rule reads its own column once more and shuffles nothing but the distinct
-    values, repeats combined before; together they would drag every count along with every key.
+def watch_rows(df: DataFrame, rulesets: Rulesets) -> tuple[DataFrame, Callable[[], Counts]]:
+    """The rows, and a function that tells the counts of all row rules once the rows have been written.
+
+    The rows are counted as they pass, so the rules cost no scan of their own; uniqueness needs one afterwards.
     """
-    distinct_rules = list(dict.fromkeys(rule for rules in rulesets.values() for rule in rules))
-    slot = {rule: f"_failed_{i}" for i, rule in enumerate(distinct_rules)}
-    slots = ["_total", *slot.values()]
-    none = F.lit(0).cast("bigint")
+    seen = Observation()
+    slots = {rule: f"_failed_{i}" for i, rule in enumerate(row_rules(rulesets))}
+    counted = [F.count_if(rule.fails(df)).alias(slot) for rule, slot in slots.items()]
+
+    def counts() -> Counts:
+        found = seen.get
+        return {None: found.get("_total", 0), **{rule: found.get(slot, 0) for rule, slot in slots.items()}}
+
+    return df.observe(seen, F.count(F.lit(1)).alias("_total"), *counted), counts
 
-    def padded(part: DataFrame, counted: Mapping[str, Column]) -> DataFrame:
-        return part.select(*[counted.get(name, none).alias(name) for name in slots])
 
-    row_rules = [rule for rule in distinct_rules if not isinstance(rule, IsUnique)]
-    checked = df.agg(
-        F.count(F.lit(1)).alias("_total"), *[rule.failures(df).alias(slot[rule]) for rule in row_rules]
+def evaluate(df: DataFrame, rulesets: Rulesets, counted: Counts | None = None) -> DataFrame:
+    """Check one dataset against named rulesets, in one scan. Rules shared by them are counted once.
+
+    The grouping sets are the whole (for row rules and the number of rows) and each column that must be unique, so each
+    row goes once into the whole, which is combined to one row per task, and once into the distinct values
+    of each such column, repeats combined before the shuffle. With `counted`, from `watch_rows` over the same
+    rows, only the columns that must be unique are read.
+    """
+    single, unique = _distinct(rulesets)
+    rules = [*single, *unique]
+    slot = {rule: f"_failed_{i}" for i, rule in enumerate(rules)}
+    columns = list(dict.fromkeys(rule.column for rule in unique))
+    fresh = [] if counted else single
+    light = df.select(
+        *[F.col(c).alias(f"_value_{k}") for k, c in enumerate(columns)], *[rule.fails(df).alias(slot[rule]) for rule in fresh]
     )
-    parts = [padded(checked, {name: F.col(name) for name in ["_total", *[slot[rule] for rule in row_rules]]})]
-    parts += [padded(r.surplus(df), {slot[r]: F.col("n")}) for r in distinct_rules if isinstance(r, IsUnique)]
-    counts = reduce(DataFrame.unionByName, parts).agg(*[F.sum(name).alias(name) for name in slots])
+    values = [f"_value_{k}" for k in range(len(columns))]
+    failed = [F.count_if(F.col(slot[rule])).alias(slot[rule]) for rule in fresh]
+    if counted and not columns:
+        counts = df.sparkSession.range(1)
+    elif not columns:
+        counts = light.agg(F.count(F.lit(1)).alias("_total"), *failed)
+    else:
+        sets = [[v] for v in values] + ([] if counted else [[]])
+        parts = light.groupingSets(sets, *values).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"), *failed)
+        # a column's bit is set where it is not grouped by; the first column has the highest bit
+        whole = (1 << len(columns)) - 1
+        none, is_whole = F.lit(0).cast("bigint"), F.col("_set") == whole
+        total = lambda of: F.coalesce(F.sum(F.when(is_whole, of)), none)
+        surplus = {
+            c: F.coalesce(
+                F.sum(F.when((F.col("_set") == whole - (1 << (len(columns) - 1 - k))) & F.col(v).isNotNull(), F.col("_n") - 1)), none
+            )
+            for k, (c, v) in enumerate(zip(columns, values, strict=True))
+        }
+        counts = parts.agg(
+            total(F.col("_n")).alias("_total"),
+            *[total(F.col(slot[rule])).alias(slot[rule]) for rule in fresh],
+            *[surplus[rule.column].alias(slot[rule]) for rule in unique],
+        )
+    if counted:
+        known = {"_total": counted[None], **{slot[rule]: counted[rule] for rule in single}}
+        counts = counts.withColumns({name: F.lit(n).cast("bigint") for name, n in known.items()})
     results = [
         F.struct(
             F.lit(dataset).alias("dataset_name"),
@@ -115,8 +162,8 @@ def evaluate(df: DataFrame, rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame
             F.col("_total").alias("rows_total"),
             F.col(slot[rule]).alias("rows_failed"),
         )
-        for dataset, rules in rulesets.items()
-        for rule in rules
+        for dataset, own in rulesets.items()
+        for rule in own
     ]
     return counts.select(F.inline(F.array(*results)))
 
@@ -156,9 +203,9 @@ def audit_rows(summary: DataFrame, business_date: str) -> DataFrame:
 
 
 def reject_rows(rejects: DataFrame, business_date: str) -> DataFrame:
-    """Audit rows of the rows that a load has rejected, one for each feed and reason."""
-    counts = rejects.groupBy("dataset_name", "reason").agg(F.count(F.lit(1)).alias("failed_rule_outcomes"))
-    return audit_rows(counts.withColumn("dataset_status", F.concat(F.lit("REJECTED "), "reason")), business_date)
+    """Audit rows of the rows that a load has rejected, one for each feed; the reasons stay with the rows."""
+    counts = rejects.groupBy("dataset_name").agg(F.count(F.lit(1)).alias("failed_rule_outcomes"))
+    return audit_rows(counts.withColumn("dataset_status", F.lit("REJECTED")), business_date)
 
 
 def transaction_metrics(

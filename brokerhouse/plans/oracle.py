@@ -108,12 +108,12 @@ TRADES = f"""
                CAST(l_quantity AS INTEGER) AS executed_quantity, {PRICE} AS executed_price,
                CAST({PRICE} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS brokerage_fee,
                CAST({PRICE} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS tax_amount,
-               {TRADE_NUMBER} AS number
+               {TRADE_NUMBER} AS number, l_linestatus = 'F' AS confirmed
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 GROSS = "CAST(executed_quantity * executed_price AS DECIMAL(18,2))"
 NET = "CAST(executed_quantity * executed_price + brokerage_fee + tax_amount AS DECIMAL(18,2))"
-MEASURES = f"SELECT * EXCLUDE (number), {GROSS} AS gross_trade_amount, {NET} AS net_trade_amount FROM trades"
+MEASURES = f"SELECT * EXCLUDE (number, confirmed), {GROSS} AS gross_trade_amount, {NET} AS net_trade_amount FROM trades"
 
 CASH = f"""
         SELECT {_numbered('FND', 'number')} AS fund_movement_id, business_date, account_id,
@@ -124,7 +124,7 @@ CASH = f"""
 SETTLEMENTS = f"""
         SELECT {_numbered('SET', 'number')} AS settlement_id, trade_id, business_date,
                business_date + 1 AS settlement_date,
-               CASE WHEN number % 10 = 0 THEN 'PENDING' ELSE 'SETTLED' END AS settlement_status
+               CASE WHEN bool_or(confirmed) OVER (PARTITION BY business_date, trade_id) THEN 'SETTLED' ELSE 'PENDING' END AS settlement_status
         FROM trades"""
 
 # Average cost half-up on whole cents: decimal division would go through floating point.

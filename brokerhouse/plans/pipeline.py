@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from brokerhouse.operators import quality
 from brokerhouse.operators.constraints import require_no_nulls, watch_nulls
 from brokerhouse.operators.facts import day_slice
 from brokerhouse.operators.lifecycle import add_business_date, add_trade_measures
-from brokerhouse.operators.scd2 import carry_over, fresh_rows, open_versions
+from brokerhouse.operators.scd2 import carry_over, fresh_rows, one_row_per_key, open_versions
 from brokerhouse.plans import rulesets
 from brokerhouse.schemas import (
     ACCOUNT,
@@ -45,7 +46,8 @@ CHECKED = {
     "orders": ("orders", "curated_orders"),
     "trades": ("trades", "curated_trades"),
 }
-_RESULT_COLUMNS = "dataset_name string, rule string, column_name string, Outcome string, rows_total bigint, rows_failed bigint"
+_COUNT_COLUMNS = "dataset string, rule string, n bigint"
+RESULT_COLUMNS = "dataset_name string, rule string, column_name string, Outcome string, rows_total bigint, rows_failed bigint"
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,8 @@ class Places:
     curated: str
     warehouse: str
     curated_format: str = "parquet"
+    #: Whether histories take one row of each key from a snapshot that repeats keys, the least one, or all of them.
+    unique_keys: bool = False
 
     @property
     def reference(self) -> str:
@@ -94,10 +98,40 @@ def curated_rows(raw: DataFrame, name: str, business_date: str) -> DataFrame:
 
 def curate(spark: SparkSession, places: Places, business_date: str) -> None:
     """Read each raw feed once and write it curated. All headers are checked before anything is written."""
-    write = write_csv if places.curated_format == "csv" else write_parquet
     raw = {name: raw_feed(spark, places, business_date, name) for name in (*MASTER_FEEDS, *TRANSACTION_FEEDS)}
-    rows = {name: curated_rows(df, name, business_date) for name, df in raw.items()}
-    together(*[partial(write, df, places.dataset(business_date, name)) for name, df in rows.items()])
+    write_curated(spark, places, business_date, {name: curated_rows(df, name, business_date) for name, df in raw.items()})
+
+
+def rules_of(name: str) -> dict[str, tuple[quality.Rule, ...]]:
+    """Both rulesets of a dataset: curated rows are the raw rows."""
+    raw, checked = CHECKED[name]
+    return {raw: rulesets.RAW[raw], checked: rulesets.CURATED[checked]}
+
+
+def write_curated(spark: SparkSession, places: Places, business_date: str, rows: Mapping[str, DataFrame]) -> None:
+    """Write curated datasets, and beside them how many of their rows fail each row rule, counted as they are written."""
+    write = write_csv if places.curated_format == "csv" else write_parquet
+    watched = {name: quality.watch_rows(df, rules_of(name)) for name, df in rows.items() if name in CHECKED}
+    together(
+        *[partial(write, watched[n][0] if n in watched else df, places.dataset(business_date, n)) for n, df in rows.items()]
+    )
+    counted = [(name, repr(rule), n) for name, (_, counts) in watched.items() for rule, n in counts().items()]
+    if counted:
+        write_json(spark.createDataFrame(counted, _COUNT_COLUMNS), places.quality(business_date, "row_counts"))
+
+
+def row_counts(spark: SparkSession, places: Places, business_date: str) -> dict[str, dict[str, int]]:
+    """What `write_curated` has counted, by dataset and rule; empty where nothing is there."""
+    try:
+        found = spark.read.schema(_COUNT_COLUMNS).json(places.quality(business_date, "row_counts")).collect()  # a row a rule
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    out: dict[str, dict[str, int]] = {}
+    for row in found:
+        out.setdefault(row["dataset"], {})[row["rule"]] = row["n"]
+    return out
 
 
 def curated(spark: SparkSession, places: Places, business_date: str, name: str) -> DataFrame:
@@ -113,20 +147,23 @@ def curated(spark: SparkSession, places: Places, business_date: str, name: str)
 def check(spark: SparkSession, places: Places, business_date: str) -> None:
     """Write rule results, their summary, the run's status and its metrics. Findings never stop the run.
 
-    Curated rows are the raw rows, so both rulesets of a dataset are evaluated over the
-    curated files, in one pass over the columns the rules name.
+    Curated rows are the raw rows, so both rulesets of a dataset go by the curated files. Their row rules were counted when
+    the files were written, so only the columns that must be unique are read again; where no counts lie
+    beside the files, one pass over the columns the rules name makes all of them.
     """
+    known = row_counts(spark, places, business_date)
 
     def results(name: str) -> DataFrame:
-        raw, checked = CHECKED[name]
-        rules = {raw: rulesets.RAW[raw], checked: rulesets.CURATED[checked]}
-        return quality.evaluate(curated(spark, places, business_date, name), rules)
+        rules, counted = rules_of(name), known.get(name, {})
+        by_rule = {rule: counted.get(repr(rule)) for rule in (None, *quality.row_rules(rules))}
+        whole = None if None in by_rule.values() else by_rule
+        return quality.evaluate(curated(spark, places, business_date, name), rules, whole)
 
     def write_results() -> None:
         union = reduce(DataFrame.unionByName, [results(name) for name in CHECKED])
         path = places.quality(business_date, "results")
         write_json(union, path, by=("dataset_name",))
-        written = spark.read.schema(_RESULT_COLUMNS).json(path)
+        written = spark.read.schema(RESULT_COLUMNS).json(path)
         summary = quality.summarize(written.where(F.col("dataset_name").isin(*rulesets.CURATED)))
         write_json(summary, places.quality(business_date, "summary"))
         status = quality.pipeline_status(summary).withColumn("business_date", F.lit(business_date))
@@ -166,8 +203,7 @@ def load_facts(spark: SparkSession, warehouse: str, business_date: str, rows: Ma
     """
     after = open_warehouse(spark, warehouse).next_facts({business_date: tuple(rows)})
     together(*[partial(write_slice, after, FACTS[name], df, business_date) for name, df in rows.items()])
-    after.finish()
-    return after
+    return after.finish()
 
 
 def reload_facts(spark: SparkSession, places: Places, business_date: str, names: Sequence[str] = tuple(FACTS)) -> Snapshot:
@@ -191,15 +227,30 @@ def backfill(spark: SparkSession, warehouse: str, rows: Mapping[str, DataFrame])
 
     together(*[partial(fill, FACTS[name], df) for name, df in rows.items()])
     covered = {day: tuple(sorted(n for n in days if day in days[n])) for day in set().union(*days.values())}
-    after = before.next_facts(covered)
-    if covered:
-        after.finish()
-    return after
+    return before.next_facts(covered).finish() if covered else before
 
 
 def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
     """Load one day: dimensions parents first, histories and facts beside them, the log row last."""
-    before = open_warehouse(spark, places.warehouse)
+    return load_day(spark, places, business_date, open_warehouse(spark, places.warehouse)).finish()
+
+
+def replay(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
+    """Load a date that has been corrected and every later one again, from what was there before it.
+
+    Histories, dimensions and facts are then as if the days had been loaded with these curated files at first. Readers
+    see the old loads until all days are done, and then all new ones; a replay that fails changes nothing.
+    """
+    now = open_warehouse(spark, places.warehouse)
+    days = sorted({x.business_date for x in now.loads if not x.facts and x.business_date >= business_date} | {business_date})
+    snapshot = now.before(business_date)
+    for day in days:
+        snapshot = load_day(spark, places, day, snapshot)
+    return snapshot.finish()
+
+
+def load_day(spark: SparkSession, places: Places, business_date: str, before: Snapshot) -> Snapshot:
+    """Write the tables of one day after `before`; nothing of it is visible until the snapshot is finished."""
     after = before.next(business_date)
     load_id = f"load_id={after.last_load}"
 
@@ -234,6 +285,8 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         add("dim_instrument", dims.new_instruments(before.table("dim_instrument"), rows, sectors, companies, exchanges))
 
     def history(spec: History, stage: DataFrame) -> None:
+        if places.unique_keys:
+            stage = one_row_per_key(stage.select(*spec.staged), spec.key)
         carried = carry_over(before.current(spec.table), stage, spec, business_date)
         path = after.path(spec.table, "carried", load_id)
         carried.write.mode("overwrite").partitionBy("is_current").parquet(path)
@@ -264,7 +317,6 @@ def load(spark: SparkSession, places: Places, business_date: str) -> Snapshot:
         dates,
         audit,
     )
-    after.finish()
     return after
 
 

@@ -78,18 +78,11 @@ def dim_exchange(spark: SparkSession, folder: str) -> DataFrame:
     return _exchanges(spark, tables.instruments(spark, folder))
 
 
-def _instrument_branch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def dim_instrument(spark: SparkSession, folder: str) -> DataFrame:
     staged = tables.instruments(spark, folder)
     sectors = _sectors(spark, staged)
     companies = _companies(spark, staged, sectors)
-    instruments = dims.new_instruments(
-        empty(spark, "dim_instrument"), staged, sectors, companies, _exchanges(spark, staged)
-    )
-    return instruments, companies, sectors
-
-
-def dim_instrument(spark: SparkSession, folder: str) -> DataFrame:
-    return _instrument_branch(spark, folder)[0]
+    return dims.new_instruments(empty(spark, "dim_instrument"), staged, sectors, companies, _exchanges(spark, staged))
 
 
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +132,8 @@ def cash_flows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def settlements_t1(spark: SparkSession, folder: str) -> DataFrame:
-    return lifecycle.next_day_settlements(tables.trades(spark, folder, with_account=False))
+    trades = tables.trades(spark, folder, with_account=False)
+    return lifecycle.next_day_settlements(trades, tables.settlement_confirmations(spark, folder))
 
 
 def trade_sequence(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,8 +265,7 @@ def dq_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 def transaction_metrics(spark: SparkSession, folder: str) -> DataFrame:
     trades = tables.trades(spark, folder, with_account=False)
-    movements = trades.select("business_date")  # one movement per trade
-    return quality.transaction_metrics(tables.orders(spark, folder), trades, movements)
+    return quality.transaction_metrics(tables.orders(spark, folder), trades, cash_flows(spark, folder))
 
 
 # Analytics.
@@ -282,12 +275,21 @@ def daily_trading_volume(spark: SparkSession, folder: str) -> DataFrame:
     return analytics.daily_trading_volume(_measured(spark, folder))
 
 
+def _named_branch(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Instruments, companies and sectors under their names as keys: no answer shows a number, so none is given out."""
+    staged = tables.instruments(spark, folder)
+    company = F.struct("company_name", "sector_name").alias("company_key")
+    companies = staged.select(company).distinct().select("company_key", F.col("company_key.sector_name").alias("sector_key"))
+    sectors = staged.select("sector_name").distinct().select(F.col("sector_name").alias("sector_key"), "sector_name")
+    return staged.select("instrument_id", "symbol", "instrument_name", company), companies, sectors
+
+
 def top_instruments(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics.top_instruments(_measured(spark, folder), dim_instrument(spark, folder))
+    return analytics.top_instruments(_measured(spark, folder), _named_branch(spark, folder)[0])
 
 
 def sector_volume(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics.sector_volume(_measured(spark, folder), *_instrument_branch(spark, folder))
+    return analytics.sector_volume(_measured(spark, folder), *_named_branch(spark, folder))
 
 
 def customers_by_risk_band(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,7 +297,7 @@ def customers_by_risk_band(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def holdings_by_sector(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics.holdings_by_sector(holdings_eod(spark, folder), *_instrument_branch(spark, folder))
+    return analytics.holdings_by_sector(holdings_eod(spark, folder), *_named_branch(spark, folder))
 
 
 def account_history(spark: SparkSession, folder: str) -> DataFrame:

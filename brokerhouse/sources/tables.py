@@ -183,6 +183,16 @@ def trades(
     )
 
 
+def settlement_confirmations(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items that are finished as confirmed settlements of their trades; the others have none."""
+    number = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    return table(spark, folder, "lineitem").where(F.col("l_linestatus") == "F").select(
+        numbered_id(TRADE_ID, number).alias("trade_id"),
+        F.to_date("l_shipdate").alias("business_date"),
+        F.lit("SETTLED").alias("settlement_status"),
+    )
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """The feed as its raw file has it: every column text."""
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

@@ -344,7 +344,10 @@ def test_cash_and_settlements(spark):
         ("FND00000010", day, "a", "TRADE_SETTLEMENT", money("-3.00"), "INR"),
         ("FND00000011", day, "b", "TRADE_SETTLEMENT", money("4.00"), "INR"),
     ]
-    assert rows(lifecycle.next_day_settlements(df)) == [
+    other_day = dt.date(2026, 4, 18)  # trade numbers start again each day
+    confirmed = [(day, "TRD00000011", "PENDING"), (day, "TRD00000011", "SETTLED"), (other_day, "TRD00000010", "SETTLED"), (day, None, "SETTLED")]
+    told = spark.createDataFrame(confirmed, "business_date date, trade_id string, settlement_status string")
+    assert rows(lifecycle.next_day_settlements(df, told)) == [
         ("SET00000010", "TRD00000010", day, dt.date(2026, 4, 20), "PENDING"),
         ("SET00000011", "TRD00000011", day, dt.date(2026, 4, 20), "SETTLED"),
     ]
@@ -427,6 +430,31 @@ def test_result_row(spark):
     assert tuple(got[0]) == ("d", 'ColumnValues "s" in ["a", "b"]', "s", "Failed", 2, 1)
 
 
+def test_several_unique_columns_and_no_rows(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "x"), (None, 2, "x"), (None, 2, None)], "k string, n int, s string")
+    rules = [quality.IsUnique("k"), quality.IsComplete("s"), quality.IsUnique("n"), quality.IsUnique("s"), quality.IsComplete("k")]
+    assert _failed(df, *rules) == [1, 1, 2, 2, 2]
+    assert _failed(df.where("false"), *rules) == [0] * 5
+    assert [r.rows_total for r in quality.evaluate(df.where("false"), {"d": rules}).collect()] == [0] * 5
+    assert _failed(df.select("k"), quality.IsUnique("k")) == [1]
+
+
+def test_rows_counted_while_written_give_the_same_results(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1"), ("a", "-2"), (None, "x"), ("b", None)], "k string, n string").repartition(3)
+    rules = {
+        "raw": [quality.IsUnique("k"), quality.IsComplete("k"), quality.Above("n", 0)],
+        "curated": [quality.Above("n", 0, inclusive=True), quality.IsUnique("k"), quality.IsUnique("n")],
+    }
+    for rows_, path in ((df, tmp_path / "some"), (df.where("false"), tmp_path / "none")):
+        watched, counts = quality.watch_rows(rows_, rules)
+        watched.write.parquet(str(path))
+        written = spark.read.parquet(str(path))
+        once, scanned = quality.evaluate(written, rules, counts()), quality.evaluate(written, rules)
+        assert rows(once) == rows(scanned)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_two_rulesets_share_their_scans(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([("a", "x")], "k string, unused string").write.parquet(path)
@@ -435,7 +463,7 @@ def test_two_rulesets_share_their_scans(spark, tmp_path):
         {"raw": [quality.IsUnique("k")], "curated": [quality.IsUnique("k"), quality.IsComplete("k")]},
     )
     plan = both._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 2 and "unused" not in plan  # the row checks, and the unique column alone
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1 and "unused" not in plan
     assert [r.dataset_name for r in both.collect()] == ["raw", "curated", "curated"]
 
 

@@ -36,8 +36,10 @@ def test_query_equals_sql(spark, con, name):
 
 def test_sums_are_reduced_before_dimension_joins(spark):
     plan = QUERIES["top_instruments"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
-    below_join = plan[plan.index("Join Inner") :]
-    assert "Aggregate [instrument_id" in below_join and "lineitem" not in plan[: plan.index("Join Inner")]
+    above_join, join, below_join = plan.partition("Join LeftOuter")
+    assert join and "Aggregate [instrument_id" in below_join and "lineitem" not in above_join
+    trades = below_join[below_join.index("Aggregate [instrument_id") :]
+    assert "l_extendedprice" in trades and "Join" not in trades[: trades.index("l_extendedprice")]
 
 
 def test_entry(spark):

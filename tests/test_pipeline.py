@@ -12,7 +12,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from brokerhouse.plans import analytics
-from brokerhouse.plans.pipeline import Places, backfill, check, curate, load, load_facts, reload_facts, run_day
+from brokerhouse.operators import quality
+from brokerhouse.plans.pipeline import (
+    RESULT_COLUMNS,
+    Places,
+    backfill,
+    check,
+    curate,
+    curated,
+    load,
+    load_facts,
+    reload_facts,
+    replay,
+    row_counts,
+    rules_of,
+    run_day,
+)
 from brokerhouse.schemas import DIMENSIONS, FACTS, FEEDS, HISTORIES
 from brokerhouse.sources.warehouse import open_warehouse
 
@@ -250,8 +265,10 @@ def test_rows_that_get_no_key_are_kept_counted_and_stay_in_the_totals(spark, tmp
     ]
     assert {json.loads(r.staged_row).get("instrument_id") for r in rejects} == {None, "INS4", "INS5"}
     audit = now.table("audit_dq_results").where("pipeline_status like 'REJECTED%'").collect()
-    assert ("instruments", "REJECTED null sector_name", 1) in {(r.dataset_name, r.pipeline_status, r.finding_count) for r in audit}
-    assert len(audit) == 4 and now.table("dim_instrument").count() == 3
+    assert {(r.dataset_name, r.pipeline_status, r.finding_count) for r in audit} == {
+        ("advisors", "REJECTED", 1), ("customers_snapshot", "REJECTED", 1), ("instruments", "REJECTED", 2),
+    }
+    assert len(audit) == 3 and now.table("dim_instrument").count() == 3
     branch = [now.table(t) for t in ("dim_instrument", "dim_company", "dim_sector")]
     top = analytics.top_instruments(now.table("fact_trades"), branch[0]).collect()
     assert [(r.symbol, r.instrument_name) for r in top] == [
@@ -413,6 +430,66 @@ def test_facts_of_an_earlier_day_are_reloaded_alone(spark, tmp_path):
         load(spark, where, D2)
 
 
+def _four_days(spark, root, second, days=(D1, D2, D3, "2026-04-22")):
+    write_reference(root, ADVISORS)
+    raw = root / "raw"
+    trade = lambda day, price: [_trade(day, 1, "BUY", "10", price, "INS1")]
+    write_day(raw, days[0], [_customer("C1"), _customer("C2")], [_account("A1")], trade(days[0], "1.00"))
+    second(raw)
+    write_day(raw, days[2], [_customer("C1", "HIGH"), _customer("C3", city="Mumbai")], [_account("A1"), _account("A3")], trade(days[2], "3.00"))
+    write_day(raw, days[3], [_customer("C1"), _customer("C2", "HIGH")], [_account("A1", "INTRADAY")], trade(days[3], "4.00"))
+    return days
+
+
+def test_days_are_loaded_again_from_a_corrected_one_on(spark, tmp_path):
+    wrong = lambda raw: write_day(raw, D2, [_customer("C1", "HIGH"), _customer("C9", city="Chennai")], [_account("A1", "FNO", "ADV002")], [])
+    right = lambda raw: write_day(raw, D2, [_customer("C1", "MEDIUM"), _customer("C2")], [_account("A1")], [_trade(D2, 1, "BUY", "1", "2.00", "INS1")])
+    ours, fresh = places(tmp_path / "ours"), places(tmp_path / "fresh")
+    for day in _four_days(spark, tmp_path / "ours", wrong):
+        run_day(spark, ours, day)
+    corrected = _trade(D1, 1, "BUY", "10", "0.50", "INS1")  # facts loaded alone since then stay
+    write_day(tmp_path / "ours" / "raw", D1, [_customer("C1"), _customer("C2")], [_account("A1")], [corrected])
+    curate(spark, ours, D1)
+    old = reload_facts(spark, ours, D1, ["fact_trades"])
+    before = _contents(old)
+    right(tmp_path / "ours" / "raw")
+    curate(spark, ours, D2)
+    check(spark, ours, D2)
+    now = replay(spark, ours, D2)
+    for day in _four_days(spark, tmp_path / "fresh", right):
+        expected = run_day(spark, fresh, day)
+    found, wanted = _contents(now), _contents(expected)
+    assert found["fact_trades"] != wanted.pop("fact_trades") and len(found.pop("fact_trades")) == 4
+    assert found == wanted and found != {n: rows for n, rows in before.items() if n != "fact_trades"}
+    assert now.fact("fact_trades", D1, D1).first().executed_price == Decimal("0.50")
+    again = open_warehouse(spark, ours.warehouse)
+    assert again.loads == now.loads and again.last_load == 8 and again.whole_loads == [1, 6, 7, 8]
+    assert _contents(again.as_of(5)) == before  # what was there before the correction
+    assert run_day(spark, ours, "2026-04-22").whole_loads == [1, 6, 7, 8, 9]
+
+
+def test_a_replay_that_fails_changes_nothing(spark, tmp_path):
+    where = places(tmp_path)
+    for day in _four_days(spark, tmp_path, lambda raw: write_day(raw, D2, [_customer("C1")], [_account("A1")], []))[:3]:
+        run_day(spark, where, day)
+    before = _contents(open_warehouse(spark, where.warehouse))
+    write_day(tmp_path / "raw", D3, [_customer("C1")], [_account("A1")], [_trade(D3, 1, "BUY", "ten", "1.00", "INS1")])
+    curate(spark, where, D3)
+    with pytest.raises(Exception, match="bad executed_quantity: ten"):
+        replay(spark, where, D2)
+    now = open_warehouse(spark, where.warehouse)
+    assert _contents(now) == before and now.last_load == 3
+
+
+def test_histories_may_take_one_row_of_a_repeated_key(spark, tmp_path):
+    write_reference(tmp_path, ADVISORS)
+    write_day(tmp_path / "raw", D1, [_customer("C1", "HIGH"), _customer("C1", "LOW"), _customer("C2")], [_account("A1")], [])
+    curate(spark, places(tmp_path), D1)
+    check(spark, places(tmp_path), D1)
+    now = load(spark, places(tmp_path, unique_keys=True), D1)
+    assert sorted((r.customer_id, r.risk_band) for r in now.table("dim_customer_scd2").collect()) == [("C1", "HIGH"), ("C2", "LOW")]
+
+
 def _fact_row(name: str, day: str, k: int) -> dict:
     values = {"string": f"v{k}", "date": day, "timestamp_ntz": f"{day} 10:00:00", "int": str(k), "decimal(18,2)": f"{k}.50"}
     row = {f.name: values[f.dataType.simpleString()] for f in FACTS[name].schema.fields}
@@ -473,6 +550,35 @@ def test_missing_column_stops_before_anything_is_written(spark, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+def test_row_rules_are_counted_as_the_files_are_written(three_days, spark):
+    where, _ = three_days
+    counted = row_counts(spark, where, D1)
+    assert set(counted) == {"customers_snapshot", "accounts_snapshot", "orders", "trades"}
+    assert counted["orders"]["None"] == 3 and sum(counted["orders"].values()) == 4  # a quantity of 0
+    for name in counted:
+        scanned = quality.evaluate(curated(spark, where, D1, name), rules_of(name)).collect()
+        written = spark.read.schema(RESULT_COLUMNS).json(where.quality(D1, "results"))
+        own = written.where(F.col("dataset_name").isin(*rules_of(name))).select(*scanned[0].__fields__).collect()
+        assert sorted(map(tuple, scanned)) == sorted(map(tuple, own))
+
+
+def test_a_second_check_leaves_only_its_own_output(spark, tmp_path):
+    write_reference(tmp_path, ADVISORS)
+    where = places(tmp_path)
+    write_day(tmp_path / "raw", D1, [_customer("C1"), _customer("C1")], [_account("A1")], [])
+    curate(spark, where, D1)
+    check(spark, where, D1)
+    first = sorted(map(tuple, spark.read.schema(RESULT_COLUMNS).json(where.quality(D1, "results")).collect()))
+    write_day(tmp_path / "raw", D1, [_customer("C1"), _customer("C2", "ODD")], [_account("A1")], [])
+    curate(spark, where, D1)
+    check(spark, where, D1)
+    second = spark.read.schema(RESULT_COLUMNS).json(where.quality(D1, "results")).collect()
+    failed = {(r.dataset_name, r.rule) for r in second if r.Outcome == "Failed" and "customers" in r.dataset_name}
+    assert len(second) == len(first) == 55
+    assert failed == {(n, 'ColumnValues "risk_band" in ["LOW", "MEDIUM", "HIGH"]') for n in ("customers", "curated_customers")}
+    assert spark.read.json(where.quality(D1, "pipeline_status")).count() == 1
+
+
 def test_status_file_is_json(three_days):
     where, _ = three_days
     files = list(Path(where.quality(D1, "summary")).glob("*.json"))
