@@ -177,6 +177,78 @@ INSTRUMENT_CTES = {
 }
 
 
+# Second loads.
+
+
+def _goes_on(key: str, columns: str, first: str, found: str, on: str) -> dict[str, str]:
+    """A dimension after a second load: rows that are new by the columns `on` get keys after those of the first."""
+    name = key.removesuffix("_key")
+    matched = " AND ".join(f"f.{c} = d.{c}" for c in on.split(", "))
+    return {
+        f"{name}_1": _keyed(key, columns, first),
+        f"{name}_2": f"""
+            SELECT * FROM {name}_1 UNION ALL BY NAME
+            SELECT coalesce((SELECT max({key}) FROM {name}_1), 0) + row_number() OVER (ORDER BY {columns}) AS {key}, {columns}
+            FROM (SELECT DISTINCT {columns} FROM {found} f WHERE NOT EXISTS (SELECT 1 FROM {name}_1 d WHERE {matched}))""",
+    }
+
+
+GEO_SECOND_CTES = {
+    "everyone": CUSTOMERS,
+    "early": "SELECT * FROM everyone WHERE risk_band = 'HIGH' AND country_name <> 'ASIA' AND state_name < 'NATION_15'",
+    **_goes_on(
+        "country_key",
+        "country_name",
+        "early",
+        "(SELECT country_name FROM everyone WHERE country_name IS NOT NULL)",
+        "country_name",
+    ),
+    **_goes_on(
+        "state_key",
+        "state_name, country_key",
+        "early JOIN country_1 USING (country_name)",
+        "(SELECT state_name, country_key FROM everyone JOIN country_2 USING (country_name))",
+        "state_name, country_key",
+    ),
+    **_goes_on(
+        "city_key",
+        "city_name, state_key",
+        "early JOIN country_1 USING (country_name) JOIN state_1 USING (state_name, country_key) WHERE city_name IS NOT NULL",
+        """(SELECT city_name, state_key FROM everyone JOIN country_2 USING (country_name)
+            JOIN state_2 USING (state_name, country_key) WHERE city_name IS NOT NULL)""",
+        "city_name, state_key",
+    ),
+}
+INSTRUMENT_SECOND_CTES = {
+    "everything": INSTRUMENTS,
+    "early": "SELECT * FROM everything WHERE sector_name > 'M' AND exchange_code = 'NSE'",
+    "late": "SELECT * REPLACE (symbol || '-2' AS symbol) FROM everything",
+    **_goes_on("sector_key", "sector_name", "early", "(SELECT sector_name FROM late)", "sector_name"),
+    **_goes_on(
+        "company_key",
+        "company_name, sector_key",
+        "early JOIN sector_1 USING (sector_name)",
+        "(SELECT company_name, sector_key FROM late JOIN sector_2 USING (sector_name))",
+        "company_name, sector_key",
+    ),
+    **_goes_on("exchange_key", "exchange_code", "early", "(SELECT exchange_code FROM late)", "exchange_code"),
+    **_goes_on(
+        "instrument_key",
+        "instrument_id, symbol, instrument_name, company_key, exchange_key, listing_country",
+        "early JOIN sector_1 USING (sector_name) JOIN company_1 USING (company_name, sector_key) JOIN exchange_1 USING (exchange_code)",
+        """(SELECT * FROM late JOIN sector_2 USING (sector_name) JOIN company_2 USING (company_name, sector_key)
+            JOIN exchange_2 USING (exchange_code))""",
+        "instrument_id",
+    ),
+}
+
+
+def _dimension_rows(table: str, name: str, parent: str = "CAST(NULL AS BIGINT)") -> str:
+    return (
+        f"SELECT 'dim_{table}' AS table_name, {table}_key AS row_key, {name} AS row_name, {parent} AS parent_key FROM {table}_2"
+    )
+
+
 # Change history.
 
 
@@ -496,6 +568,32 @@ ORACLE_SQL: dict[str, str] = {
                CAST(year(d) AS INTEGER) AS year_number, CAST(month(d) AS INTEGER) AS month_number,
                CAST(day(d) AS INTEGER) AS day_number, dayname(d) AS weekday_name
         FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)""",
+    "geography_second_load": _with(
+        GEO_SECOND_CTES,
+        "\nUNION ALL\n".join(
+            [
+                _dimension_rows("country", "country_name"),
+                _dimension_rows("state", "state_name", "country_key"),
+                _dimension_rows("city", "city_name", "state_key"),
+            ]
+        ),
+    ),
+    "instruments_second_load": _with(
+        INSTRUMENT_SECOND_CTES,
+        "\nUNION ALL\n".join(
+            [
+                _dimension_rows("sector", "sector_name"),
+                _dimension_rows("company", "company_name", "sector_key"),
+                _dimension_rows("exchange", "exchange_code"),
+                _dimension_rows("instrument", "instrument_id || ' ' || symbol || ' ' || exchange_key", "company_key"),
+            ]
+        ),
+    ),
+    "dim_date_second_load": """
+        SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS business_date,
+               CAST(year(d) AS INTEGER) AS year_number, CAST(month(d) AS INTEGER) AS month_number,
+               CAST(day(d) AS INTEGER) AS day_number, dayname(d) AS weekday_name
+        FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem)""",
     "scd2_advisor": _with(ADVISOR_CTES, "SELECT * FROM dim"),
     "scd2_customer": _with(CUSTOMER_CTES, "SELECT * FROM dim"),
     "scd2_account": _with(ACCOUNT_CTES, "SELECT * FROM dim"),
@@ -527,6 +625,12 @@ ORACLE_SQL: dict[str, str] = {
         f"""SELECT {FIRST_DAY} AS business_date, dataset_name, dataset_status AS pipeline_status,
                    CAST(failed_rule_outcomes AS INTEGER) AS finding_count FROM summary""",
     ),
+    "dq_published": _with(
+        {**SUMMARY_CTES, "all_results": "\nUNION ALL\n".join(DQ.values())},
+        """SELECT a.*, s.failed_rule_outcomes, s.dataset_status, p.* FROM all_results a LEFT JOIN summary s USING (dataset_name)
+           CROSS JOIN (SELECT CASE WHEN sum(failed_rule_outcomes) > 0 THEN 'DQ_FINDINGS_PRESENT' ELSE 'PASSED' END AS pipeline_status,
+                       CAST(sum(failed_rule_outcomes) AS BIGINT) AS total_failed_rule_outcomes FROM summary) p""",
+    ),
     "transaction_metrics": _with(
         {
             **TRADE_CTES,

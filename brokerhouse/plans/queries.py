@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +15,20 @@ from brokerhouse.operators import lifecycle, quality
 from brokerhouse.operators.scd2 import apply_scd2
 from brokerhouse.plans import analytics, rulesets
 from brokerhouse.plans.landing import load_report
-from brokerhouse.plans.pipeline import backfill, load_facts
+from brokerhouse.plans.pipeline import RESULT_COLUMNS, Places, backfill, check, load_facts, write_curated
 from brokerhouse.schemas import ACCOUNT, ADVISOR, CUSTOMER, DIMENSIONS, History
 from brokerhouse.sources import tables
 from brokerhouse.sources.tables import FIRST_DAY, SECOND_DAY
 from brokerhouse.sources.warehouse import open_warehouse
-from brokerhouse.sources.work import new_path, no_rows
+from brokerhouse.sources.work import materialize, new_path, no_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The day whose slice the replace queries load again.
 RELOADED_DAY = "1998-06-15"
+# Which rows a first load sees, before a second one sees all.
+FIRST_CUSTOMERS = "risk_band = 'HIGH' and country_name <> 'ASIA' and state_name < 'NATION_15'"
+FIRST_INSTRUMENTS = "sector_name > 'M' and exchange_code = 'NSE'"
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
@@ -90,6 +94,63 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return dims.new_dates(empty(spark, "dim_date"), days)
 
 
+# Second loads: what the first has left is met by an anti join, and keys go on from its highest.
+
+
+def _second(first: DataFrame, second: DataFrame) -> DataFrame:
+    return first.unionByName(second)
+
+
+def _rows(table: str, df: DataFrame) -> DataFrame:
+    """A dimension's rows for a report over several: number, name and parent's number."""
+    key, name, *parent = DIMENSIONS[table].names[:3]
+    above = F.col(parent[0]) if parent else F.lit(None).cast("bigint")
+    return df.select(
+        F.lit(table).alias("table_name"), F.col(key).alias("row_key"), F.col(name).alias("row_name"), above.alias("parent_key")
+    )
+
+
+def geography_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Countries, states and cities after two loads: customers of high balances first, then all."""
+    countries, states, cities = (empty(spark, name) for name in ("dim_country", "dim_state", "dim_city"))
+    everyone = tables.customers(spark, folder)
+    for staged in (everyone.where(FIRST_CUSTOMERS), everyone):
+        found = dims.distinct_places(staged)
+        countries = materialize(_second(countries, dims.new_countries(countries, found)))
+        states = materialize(_second(states, dims.new_states(states, found, countries)))
+        cities = materialize(_second(cities, dims.new_cities(cities, found, countries, states)))
+    return _rows("dim_country", countries).unionByName(_rows("dim_state", states)).unionByName(_rows("dim_city", cities))
+
+
+def instruments_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Sectors, companies, exchanges and instruments after two loads; the second renames instruments that are known already."""
+    names = ("dim_sector", "dim_company", "dim_exchange", "dim_instrument")
+    sectors, companies, exchanges, instruments = (empty(spark, name) for name in names)
+    everything = tables.instruments(spark, folder)
+    renamed = everything.withColumn("symbol", F.concat("symbol", F.lit("-2")))
+    for staged in (everything.where(FIRST_INSTRUMENTS), renamed):
+        sectors = materialize(_second(sectors, dims.new_sectors(sectors, staged)))
+        companies = materialize(_second(companies, dims.new_companies(companies, staged, sectors)))
+        exchanges = materialize(_second(exchanges, dims.new_exchanges(exchanges, staged)))
+        instruments = materialize(
+            _second(instruments, dims.new_instruments(instruments, staged, sectors, companies, exchanges))
+        )
+    report = [_rows(name, df) for name, df in zip(names[:3], (sectors, companies, exchanges), strict=True)]
+    own = instruments.select(
+        F.lit("dim_instrument").alias("table_name"),
+        F.col("instrument_key").alias("row_key"),
+        F.concat_ws(" ", "instrument_id", "symbol", F.col("exchange_key").cast("string")).alias("row_name"),
+        F.col("company_key").alias("parent_key"),
+    )
+    return reduce(DataFrame.unionByName, [*report, own])
+
+
+def dim_date_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of orders first, then days of trades: those that were there stay."""
+    first = materialize(dims.new_dates(empty(spark, "dim_date"), tables.orders(spark, folder)))
+    return _second(first, dims.new_dates(first, tables.trades(spark, folder, with_account=False)))
+
+
 # Change history over two daily snapshots.
 
 
@@ -263,6 +324,29 @@ def dq_audit(spark: SparkSession, folder: str) -> DataFrame:
     return quality.audit_rows(dq_summary(spark, folder), FIRST_DAY).drop("audit_run_ts")
 
 
+def dq_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Results of both rulesets as a second run has left them in the published files, each with its dataset's summary.
+
+    The first run writes other rows, of which nothing may stay.
+    """
+    root = new_path(spark)
+    places = Places(f"{root}/raw", root, f"{root}/warehouse")
+    feeds = {
+        "customers_snapshot": _customers(spark, folder),
+        "accounts_snapshot": _accounts(spark, folder),
+        "orders": tables.raw_orders(spark, folder),
+        "trades": lifecycle.add_trade_measures(_raw_trades(spark, folder)),
+        "fund_movements": cash_flows(spark, folder),
+    }
+    for rows in ({name: df.limit(0) for name, df in feeds.items()}, feeds):
+        write_curated(spark, places, FIRST_DAY, rows)
+        check(spark, places, FIRST_DAY)
+    read = lambda name, columns: spark.read.schema(columns).json(places.quality(FIRST_DAY, name))
+    summary = read("summary", "dataset_name string, failed_rule_outcomes bigint, dataset_status string")
+    status = read("pipeline_status", "pipeline_status string, total_failed_rule_outcomes bigint")
+    return read("results", RESULT_COLUMNS).join(summary, "dataset_name", "left").join(F.broadcast(status))  # a row
+
+
 def transaction_metrics(spark: SparkSession, folder: str) -> DataFrame:
     trades = tables.trades(spark, folder, with_account=False)
     return quality.transaction_metrics(tables.orders(spark, folder), trades, cash_flows(spark, folder))
@@ -328,6 +412,9 @@ QUERIES: dict[str, Query] = {
     "dim_exchange": dim_exchange,
     "dim_instrument": dim_instrument,
     "dim_date": dim_date,
+    "geography_second_load": geography_second_load,
+    "instruments_second_load": instruments_second_load,
+    "dim_date_second_load": dim_date_second_load,
     "scd2_advisor": scd2_advisor,
     "scd2_customer": scd2_customer,
     "scd2_account": scd2_account,
@@ -340,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "dq_summary": dq_summary,
     "pipeline_status": pipeline_status,
     "dq_audit": dq_audit,
+    "dq_published": dq_published,
     "transaction_metrics": transaction_metrics,
     "daily_load_report": load_report,
 }

@@ -42,5 +42,20 @@ def test_sums_are_reduced_before_dimension_joins(spark):
     assert "l_extendedprice" in trades and "Join" not in trades[: trades.index("l_extendedprice")]
 
 
+def test_a_second_load_meets_what_is_there(spark):
+    plan = QUERIES["dim_date_second_load"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in plan
+
+
+def test_rules_of_a_dataset_share_one_scan(spark):
+    plan = QUERIES["dq_trades"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Expand") == 1
+
+
+def test_changes_are_found_without_ordering_values(spark):
+    version = QUERIES["scd2_customer"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in version
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
