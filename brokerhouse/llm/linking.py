@@ -33,6 +33,8 @@ from brokerhouse.llm.components import components
 COUNTED = 128
 #: Nodes of one cell that meet each other at a time, and how many pairs are looked at together.
 MEETING, AT_ONCE = 512, 32_768
+#: Of the cells of a node, so many go with it: the least ones, so that two nodes which share many cells meet in few of them.
+LEAST_CELLS = 8
 #: What a node is in a part of a cell (flags).
 MEETS, IS_MET, MINOR = 1, 2, 4
 #: Words of a filter, at least and at most (64 megabytes).
@@ -308,6 +310,8 @@ def meetings(members: DataFrame, nodes: DataFrame, percent: int, meeting: int =
 
     At least one of two components is not the cell's main one, so its nodes meet all others. The nodes of a cell
     are dealt into blocks of about `meeting`, and a task holds two blocks at a time, however many nodes share a cell.
+    Two nodes meet in every cell that they share; where one of their least cells is common to both, they are left out of
+    all greater ones, so a pair comes out of the first of its cells, and hardly ever of more.
     """
 
     def pairs(part: pa.Table, place: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -315,7 +319,9 @@ def meetings(members: DataFrame, nodes: DataFrame, percent: int, meeting: int =
         raw = part.column("_sketch").to_pylist()
         known = np.array([bool(s) for s in raw])
         numbers = np.frombuffer(b"".join(s or bytes(COUNTED) for s in raw), np.uint8).reshape(-1, COUNTED)
-        unit, node = part.column("_part").to_numpy(), part.column("_node").to_numpy()
+        unit, node, cell = (part.column(c).to_numpy() for c in ("_part", "_node", "_cell"))
+        lists = part.column("_least").combine_chunks()
+        least = lists.flatten().to_numpy().reshape(len(role), LEAST_CELLS)
         x, y = np.flatnonzero(role & MEETS), np.flatnonzero(role & IS_MET)
         first = np.searchsorted(place[y], place[x])
         number = np.searchsorted(place[y], place[x], "right") - first
@@ -333,7 +339,13 @@ def meetings(members: DataFrame, nodes: DataFrame, percent: int, meeting: int =
             both = np.minimum(numbers[i], numbers[j]).sum(1, dtype=np.uint16).astype(np.int64)  # at most 255 * COUNTED
             both = np.where(known[i] & known[j], both, np.minimum(n[i], n[j]))
             keep = 100 * both >= percent * (n[i] + n[j] - both)
-            yield pa.RecordBatch.from_arrays([pa.array(node[i[keep]]), pa.array(node[j[keep]])], ["a", "b"])
+            i, j = i[keep], j[keep]
+            before = np.zeros(len(i), bool)
+            for k in range(LEAST_CELLS):
+                own = least[i, k]
+                before |= (own < cell[i]) & (least[j] == own[:, None]).any(1)
+            i, j = i[~before], j[~before]
+            yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
             lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,14 +368,17 @@ def meetings(members: DataFrame, nodes: DataFrame, percent: int, meeting: int =
             F.ceil(F.sum(F.col("_minor").cast("int")) / meeting).cast("int").alias("_minors"),
         ).where("_minors > 0")
     )
-    dealt = members.join(nodes.select("_node", "_n", "_sketch"), "_node").join(sizes, "_cell")
+    few = F.concat(F.array_sort(F.collect_list("_cell")), F.array_repeat(F.lit((1 << 63) - 1), LEAST_CELLS))
+    there = members.groupBy("_node").agg(F.slice(few, 1, LEAST_CELLS).alias("_least"))
+    there = materialize(there.join(nodes.select("_node", "_n", "_sketch"), "_node"))
+    dealt = members.join(there, "_node").join(sizes, "_cell")
     others, own = F.sequence(F.lit(0), F.col("_minors") - 1), F.sequence(F.lit(0), F.col("_blocks") - 1)
     place = lambda blocks: F.pmod(F.xxhash64("_node"), F.col(blocks)).cast("int")
     is_minor = F.when(F.col("_minor"), MINOR).otherwise(0)
     # a node is met in its block by all blocks of minor nodes; a minor node meets in one of these parts as well ...
     met_by = dealt.withColumn("_i", F.explode(others)).withColumn("_j", place("_blocks"))
     meets_too = F.when(F.col("_minor") & (F.col("_i") == place("_minors")), MEETS).otherwise(0)
-    columns = ("_cell", "_i", "_j", "_node", "_part", "_n", "_sketch")
+    columns = ("_cell", "_i", "_j", "_node", "_part", "_n", "_sketch", "_least")
     every = met_by.select(*columns, (F.lit(IS_MET) + is_minor + meets_too).alias("_role"))
     # ... and in the other blocks
     going = dealt.where("_minor AND _blocks > 1").withColumn("_i", place("_minors")).withColumn("_j", F.explode(own))
