@@ -220,8 +220,9 @@ def duplicates(
     key = [*key, "_sub"]
     told = materialize(told.select("_id", "_sha", *key))
     told = with_copy_number(told)
-    groups = told.groupBy(*key).agg(
-        F.count("*").alias("group_size"), F.max(F.struct("_id", "_copy")).alias("_stays")
+    # written before it is joined: a group that holds most rows can then be split
+    groups = materialize(
+        told.groupBy(*key).agg(F.count("*").alias("group_size"), F.max(F.struct("_id", "_copy")).alias("_stays"))
     )
     return told.join(groups, key).select(
         F.col("_id").alias(id_col),
