@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from brokerhouse.sources.work import materialize, work_dir
 
 __all__ = [
-    "bloom_bits", "by_bytes", "discard", "fold", "free_names", "in_bloom", "materialize", "same_columns", "sample_rows",
+    "bloom_bits", "by_bytes", "discard", "exact_products", "fold", "free_names", "in_bloom", "materialize", "quiet", "same_columns", "sample_rows",
     "shingle_sets", "text_bytes", "texts_of", "tidied", "word_hashes",
 ]
 
@@ -232,3 +232,33 @@ def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     keys = keys.view(np.uint64)
     word = (keys >> np.uint64(6)) % np.uint64(len(bits))
     return (bits[word].view(np.uint64) >> (keys & np.uint64(63))) & np.uint64(1) > 0
+
+
+_LONG = (1 << 63) - 1
+
+
+def quiet(run: Callable) -> Callable:
+    """The function without warnings of numbers too great to reckon with: it treats them itself."""
+
+    @wraps(run)
+    def inner(*args, **named):
+        with np.errstate(over="ignore", invalid="ignore"):
+            return run(*args, **named)
+
+    return inner
+
+
+def exact_products(rows: np.ndarray, vector: np.ndarray, greatest: float | None = None) -> np.ndarray:
+    """Inner products of whole-number vectors as longs; beyond the range of a long, its nearest end.
+
+    `greatest`: what no component of the rows exceeds, if known.
+    """
+    ends = float(np.abs(rows).max(initial=0) if greatest is None else greatest), float(np.abs(vector).max(initial=0))
+    most = ends[0] * ends[1] * len(vector)
+    if most < 2**53:
+        return (rows @ vector).astype(np.int64)
+    if most < 2**62 and max(ends) < 2**53:
+        return rows.astype(np.int64) @ vector.astype(np.int64)
+    own = [int(v) for v in vector]
+    exact = [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in rows]
+    return np.array([min(max(x, -_LONG - 1), _LONG) for x in exact], np.int64)

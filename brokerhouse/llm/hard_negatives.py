@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.common import free_names, materialize, tidied
+from brokerhouse.llm.common import exact_products, free_names, materialize, quiet, tidied
 
 #: Codes of a vector, and bit planes of a query.
 LEVELS, PLANES = 5, 7
@@ -52,6 +52,7 @@ def padded(dim: int) -> int:
     return max(64, 1 << (dim - 1).bit_length())
 
 
+@quiet
 def rotate(rows: np.ndarray) -> np.ndarray:
     """The rows turned by a fixed rotation; lengths and inner products stay."""
     n = padded(rows.shape[1])
@@ -74,6 +75,7 @@ def pack(bits: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=-1, bitorder="little").view(np.uint64)
 
 
+@quiet
 def encode(rows: np.ndarray, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes (rows, levels, words), alignments and lengths of the rests (rows, levels)."""
     rest = rotate(rows)
@@ -91,6 +93,7 @@ def encode(rows: np.ndarray, levels: int = LEVELS) -> tuple[np.ndarray, np.ndarr
 class Query:
     """A rotated query in bit planes: q = low + step * (0 .. 2^planes - 1) + what is left out."""
 
+    @quiet
     def __init__(self, turned: np.ndarray, planes: int = PLANES) -> None:
         self.length = float(np.sqrt((turned**2).sum()))
         self.low = float(turned.min())
@@ -120,13 +123,15 @@ class Block:
         self.codes = np.ascontiguousarray(codes[by_label].transpose(1, 2, 0))
         self.aligned, self.left = (np.ascontiguousarray(x[by_label].T) for x in (aligned, left))
         self.ones = np.bitwise_count(self.codes).sum(1, dtype=np.int32)
-        self.lengths = np.sqrt((self.rows**2).sum(1))
+        with np.errstate(over="ignore"):
+            self.lengths = np.sqrt((self.rows**2).sum(1))
         self.greatest = np.abs(self.rows).max(initial=0)
         self.pairs = self.scored = 0
 
     def of_label(self, label: int) -> slice:
         return slice(*np.searchsorted(self.labels, [label, label + 1]).tolist())
 
+    @quiet
     def refine(self, query: Query, level: int, some, sums: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Estimates of the candidates `some` (places or a slice) with one more code, and the ends of their intervals."""
         product = query.products(self.codes[level][:, some], self.ones[level][some])
@@ -137,7 +142,11 @@ class Block:
         across = np.sqrt(np.maximum(query.length**2 - along * along, 0))
         # rounding must not rule out a pair
         wide = left * (across + query.error) + lengths * (query.error + 1e-9 * query.length) + 1e-6
-        return sums, sums - wide, sums + wide
+        low, high = sums - wide, sums + wide
+        # what is too great to reckon with rules nothing out; scores end where longs do
+        unsure = ~np.isfinite(wide) | ~np.isfinite(sums)
+        low, high = np.where(unsure, -np.inf, low), np.where(unsure, np.inf, high)
+        return np.where(unsure, 0.0, sums), np.minimum(low, float(_LONG)), np.maximum(high, -float(_LONG))
 
     def score(self, vector: np.ndarray, some: np.ndarray) -> np.ndarray:
         self.scored += len(some)
@@ -201,22 +210,6 @@ class Block:
         return out
 
 
-def exact_products(rows: np.ndarray, vector: np.ndarray, greatest: float | None = None) -> np.ndarray:
-    """Inner products of whole-number vectors as longs; beyond the range of a long, its nearest end.
-
-    `greatest`: what no component of the rows exceeds, if known.
-    """
-    ends = float(np.abs(rows).max(initial=0) if greatest is None else greatest), float(np.abs(vector).max(initial=0))
-    most = ends[0] * ends[1] * len(vector)
-    if most < 2**53:
-        return (rows @ vector).astype(np.int64)
-    if most < 2**62 and max(ends) < 2**53:
-        return rows.astype(np.int64) @ vector.astype(np.int64)
-    own = [int(v) for v in vector]
-    exact = [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in rows]
-    return np.array([min(max(x, -_LONG - 1), _LONG) for x in exact], np.int64)
-
-
 def score_range(positive: int, low: int, high: int) -> tuple[int, int]:
     """Least and greatest score of a negative: low/100 to high/100 of the positive's."""
     return -(-low * positive // 100), high * positive // 100

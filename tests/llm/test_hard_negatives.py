@@ -20,7 +20,7 @@ def brute(rows):
         if i is None or i % 50:
             continue
         scored = [
-            (-sum(a * b for a, b in zip(v, w, strict=True)), j is None, j or 0, z)
+            (-min(max(sum(a * b for a, b in zip(v, w, strict=True)), -(2**63)), 2**63 - 1), j is None, j or 0, z)
             for m, (j, w, z) in enumerate(known)
             if m != n and len(w) == len(v)
         ]
@@ -44,6 +44,7 @@ def test_mining_equals_brute_force(spark, block_rows):
     rows += [(50, rows[7][1], 1, 0), (100, *rows[100][1:]), (None, rows[3][1], 2, 0), (None, rows[3][1], 2, 0)]
     rows += [(1000, None, 1, 0), (1050, [None, 1.0], 1, 0), (1100, [float("nan")] * 20, 1, 0), (1150, [float("inf")] * 20, 1, 0)]
     rows += [(1200, [], 1, 0), (1250, rows[0][1], None, 0), (1300, [0.0] * 20, 3, 0)]
+    rows += [(1500 + k, [2.0 ** (900 - 100 * k), 1.0], k % 2, 0) for k in range(0, 200, 10)]  # beyond the range of a long
     rows += [(2000 + k, rng.normal(0, 0.2, 3).tolist(), k % 2, 0) for k in range(60)]
     docs = spark.createDataFrame(rows, NAMES).repartition(5)
     found = hard_negatives.mine(hard_negatives.shifted_labels(docs), block_rows=block_rows)

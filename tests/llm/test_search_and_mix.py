@@ -3,31 +3,63 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import numpy as np
+import pytest
 
 from brokerhouse.llm import mixing, revisits, topk
 
 
-def test_top_k_equals_brute_force(spark):
+def whole(vector):
+    return [int(np.floor(256 * x)) for x in vector]
+
+
+def brute_top(rows):
+    """The five best of each query, in Python's whole numbers."""
+    out = []
+    for n, (i, v, _) in enumerate(rows):
+        if i is None or i % 50:
+            continue
+        own, scores = whole(v), []
+        for m, (j, w, _) in enumerate(rows):
+            if m != n and len(w) == len(v):
+                score = sum(a * b for a, b in zip(own, whole(w), strict=True))
+                scores.append((-min(max(score, -(2**63)), 2**63 - 1), j is None, j or 0))
+        out += [(i, k + 1, None if null else j, -s) for k, (s, null, j) in enumerate(sorted(scores)[:5])]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bucket", [64, None])
+def test_top_k_equals_brute_force(spark, bucket):
     rng = np.random.default_rng(3)
     rows = [(int(k), rng.normal(0, 0.3, 12).tolist(), "x") for k in range(300)]
     rows += [(300 + k, rows[7][1], "x") for k in range(30)] + [(None, rows[7][1], "x"), (50, rows[9][1], "x")]
     bad = [(1000, None, "x"), (1050, [None, 1.0], "x"), (1100, [float("nan")] * 12, "x"), (1150, [float("inf")] * 12, "x"), (1200, [], "x")]
     other = [(2000, [0.5, 0.5], "x"), (2001, [0.25, 0.5], "x")]
-    docs = spark.createDataFrame(rows + bad + other, "vec_id long, embedding array<double>, score string")
-    expected = []
-    for n, (i, v, _) in enumerate(all_ := rows + other):
-        if i is None or i % 50:
-            continue
-        whole = np.floor(256 * np.array(v)).astype(int)
-        scores = [
-            (-int(whole @ np.floor(256 * np.array(w)).astype(int)), j is None, j or 0) for m, (j, w, _) in enumerate(all_) if m != n and len(w) == len(v)
-        ]
-        expected += [(i, k + 1, None if null else j, -s) for k, (s, null, j) in enumerate(sorted(scores)[:5])]
-    found = topk.top_k(docs, bucket=64)
-    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    huge = [(3000 + 25 * k, [float(s) * 2.0**e, 1.0, 0.5], "x") for k, (s, e) in enumerate([(1, 40), (-1, 40), (1, 24), (1, 1), (-1, 900), (1, 900)])]
+    docs = spark.createDataFrame(rows + bad + other + huge, "vec_id long, embedding array<double>, score string")
+    found = topk.top_k(docs, bucket=bucket)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_top(rows + other + huge)
     assert topk.top_k(docs.limit(0)).count() == 0
 
 
+def test_pivots_rule_out_most_of_clustered_candidates():
+    """Rows around 40 centres: far fewer than a fifth are evaluated; every bound holds, also for random rows."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 100, (40, 16))
+    for spread, most in ((5.0, 0.2), (300.0, 1.0)):
+        rows = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(0, spread, (4000, 16)))
+        pivots = topk.apart(rows[:1000], 40)
+        bucket = topk.Bucket(np.arange(4000), np.arange(4000), np.ones(4000, bool), rows, pivots)
+        for q in range(0, 4000, 100):
+            exact = rows @ rows[q]
+            to_pivots = topk.distances(rows[q : q + 1], pivots)[0]
+            assert (bucket.bounds(rows[q], to_pivots) >= exact).all()
+            exact[q] = -np.inf
+            best = np.lexsort((np.arange(4000), -exact))[:5]
+            for least in (topk.NO_BOUND, int(exact[best[-1]])):
+                assert bucket.best(q, rows[q], to_pivots, 5, least) == [(int(b), int(exact[b])) for b in best]
+        assert bucket.evaluated < most * bucket.pairs
+
+
 def water_filling(sizes, weights, most):
     """Shares the excess again and again, as the rule says."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
