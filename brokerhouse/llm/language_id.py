@@ -38,14 +38,14 @@ SPAN = 1 << 20
 UNKNOWN = "und"
 
 
-def letter_classes(texts: list[str]) -> np.ndarray:
-    """Class of every code point: letters of the sample, lower-cased, by number of occurrences, as many as there are classes."""
+def letter_classes(texts: list[str], alphabet: int = CLASSES - 2) -> np.ndarray:
+    """Class of every code point: letters of the sample, lower-cased, the `alphabet` most frequent ones; other letters share one."""
     seen = np.zeros(sys.maxunicode + 1, np.int64)
     for text in texts:
         np.add.at(seen, _points(text.lower()), 1)
     letters = [c for c in np.argsort(-seen, kind="stable")[: CLASSES * 2].tolist() if seen[c] and chr(c).isalpha()]
     table = np.zeros(sys.maxunicode + 1, np.int16)
-    known = {c: k + 1 for k, c in enumerate(letters[: CLASSES - 2])}
+    known = {c: k + 1 for k, c in enumerate(letters[: min(alphabet, CLASSES - 2)])}
     for c in range(sys.maxunicode + 1):
         if chr(c).isalpha():
             low = chr(c).lower()
@@ -176,10 +176,10 @@ class Model:
         return language, np.where(none, 0.0, score), np.where(none, 0.0, lowest), none | (lowest > self.bounds[best])
 
 
-def train(texts: list[str], languages: list[str], rejected: float = 0.01, seed: int = 5) -> Model:
+def train(texts: list[str], languages: list[str], alphabet: int = CLASSES - 2, rejected: float = 0.01, seed: int = 5) -> Model:
     """Models from nine tenths of the rows, bounds and the scale of scores from the others."""
     known = sorted(set(languages))
-    classes = letter_classes(texts)
+    classes = letter_classes(texts, alphabet)
     rng = np.random.default_rng(seed)
     held = rng.random(len(texts)) < 0.1
     models = []
@@ -202,9 +202,19 @@ def train(texts: list[str], languages: list[str], rejected: float = 0.01, seed:
 
 
 def fit(
-    docs: DataFrame, most: int = 600, longest: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    most: int = 600,
+    longest: int = 20_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    alphabet: int = CLASSES - 2,
 ) -> Model:
-    """Learn from at most `most` rows of each non-null language with at most `longest` characters."""
+    """Learn from at most `most` rows of each non-null language with at most `longest` characters.
+
+    The `alphabet` most frequent letters of these are told apart (4,094 at most, as four must fit a number); all others count
+    as one more letter. That is enough for alphabets and syllabaries, and leaves out rare ideographs.
+    """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= longest))
     light = usable.select(
         F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")
@@ -214,7 +224,7 @@ def fit(
     both = light.join(F.broadcast(ids.distinct()), (F.col("_id") == F.col("_i")) & (F.col("_lang") == F.col("_l")))
     one = both.groupBy("_lang", "_id").agg(F.min("_text").alias("_text"))  # one row an id and language
     rows = one.orderBy("_lang", "_id").select("_text", "_lang").toArrow()
-    return train(rows.column("_text").to_pylist(), rows.column("_lang").to_pylist())
+    return train(rows.column("_text").to_pylist(), rows.column("_lang").to_pylist(), alphabet)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

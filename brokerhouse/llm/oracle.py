@@ -130,6 +130,60 @@ def _near_classes(percent: int, kept: str) -> str:
     """
 
 
+_TAG = """'"' || substr(digest, 1, 12) || '-' || (page_id + {0} + 2) // 2 || '"'"""
+_REVISITS = f"""
+    with page as (select page_id, url, md5(coalesce(html, '')) as digest, length(coalesce(html, '')) as size from pages),
+    full_ as (
+        select page_id * 16 + c as id, url, 1700000000 + page_id * 60 + c * 172800 as t,
+            case when page_id % 5 <> 1 then {_TAG.format("c")} end as etag,
+            cast(1700000000 + (page_id + c + 2) // 2 * 1000 as varchar) as modified, size + c as size,
+            case when (page_id + c) % 2 = 1 then digest || '-' || (page_id + c + 2) // 2 end as digest
+        from page, range(3) r(c)
+    ),
+    again as (
+        select page_id * 16 + 8 + c as id, replace(regexp_replace(url, '#.*$', ''), 'http', 'HTTP') || '#again' as url,
+            1700000000 + page_id * 60 + c * 172800 - 3600 as t, page_id % 100 as age,
+            case (page_id + c) % 6 when 1 then 'W/' || {_TAG.format("c - 1")} when 0 then '"other"' when 4 then '"other"' end as etag,
+            case when (page_id + c) % 6 in (2, 4) then cast(1700000000 + (page_id + c + 1) // 2 * 1000 as varchar)
+                when (page_id + c) % 6 = 5 then '0' end as modified,
+            case when (page_id + c) % 6 = 0 then digest || '-' || (page_id + c + 1) // 2 end as digest
+        from page, range(4) r(c)
+    ),
+    parts as (
+        select id, regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^([A-Za-z][A-Za-z0-9+.\\-]*)://(?:[^/?]*@)?([^/?]*)([^?]*)\\??(.*)$',
+            ['scheme', 'host', 'path', 'query']) as u
+        from (select id, url from full_ union all select id, url from again)
+    ),
+    known as (
+        select id, lower(u.scheme) || '://' || regexp_replace(lower(u.host), case when lower(u.scheme) = 'http' then ':80$' else ':443$' end, '')
+            || case when u.path = '' then '/' else u.path end
+            || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(u.query, '&'), lambda p: p <> '')), '&'), ''), '') as url
+        from parts
+    ),
+    met as (
+        select a.id, max_by(f, {{'t': f.t, 'id': f.id}}) as f
+        from again a join known ka on a.id = ka.id join known kf on ka.url = kf.url
+            join full_ f on kf.id = f.id and f.t < a.t
+        group by a.id
+    ),
+    judged as (
+        select a.*, k.url as place, f, coalesce(
+            case when a.digest is not null and f.digest is not null then a.digest = f.digest end,
+            case when a.etag is not null and f.etag is not null then regexp_replace(a.etag, '^W/', '') = regexp_replace(f.etag, '^W/', '') end,
+            case when a.modified is not null and f.modified is not null then a.modified = f.modified end) as agrees
+        from again a join known k on a.id = k.id left join met on a.id = met.id
+    )
+    select id as record_id, place as url, case when agrees then f.id end as original_id,
+        case when f is null then 'no_original' when agrees is null then 'no_validator' when agrees then 'resolved'
+            else 'validator_mismatch' end as outcome,
+        case when agrees then f.digest else digest end as payload_digest,
+        case when agrees then coalesce(etag, f.etag) else etag end as etag,
+        case when agrees then f.modified else modified end as last_modified, cast(t as varchar) as date,
+        'max-age=' || age as cache_control, case when agrees then 'text/html' end as content_type,
+        case when agrees then cast(f.size as varchar) end as content_length, case when agrees then null else 'edge' end as server
+    from judged
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op8_exact_dedup": f"""
         with texts as (select doc_id, {_LOWER} as t from documents),
@@ -137,6 +191,7 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
         from texts join groups using (t)
     """,
+    "op3_revisits": _REVISITS,
     "op7_ngram_join": _near_classes(90, ""),
     "op12_minhash_dedup": _near_classes(85, ", doc_id = coalesce(least, doc_id) as kept"),
     "op11_hard_negatives": """

@@ -58,7 +58,7 @@ def op3_revisits(spark: SparkSession, folder: str) -> DataFrame:
     header = lambda name: F.col("headers")[name].alias(name.replace("-", "_"))
     return found.select(
         "record_id", "url", "original_id", "outcome", "payload_digest",
-        *map(header, ("etag", "date", "cache-control", "content-type", "content-length", "server")),
+        *map(header, ("etag", "last-modified", "date", "cache-control", "content-type", "content-length", "server")),
     )
 
 

@@ -115,42 +115,54 @@ def resolve(records: DataFrame, pieces: int = PIECES) -> DataFrame:
     )
 
 
+#: Seconds between two full captures of a page.
+APART = 172_800
+
+
 def crawl_of(pages: DataFrame) -> DataFrame:
-    """A crawl of the pages: each page in full, and one revisit of two of every three, a day or two later.
+    """A crawl of the pages: each three times in full, its content changing now and then, and four revisits.
 
-    The revisit spells the URL in another way; of every seven pages one has changed its validators, one sends none.
+    The first revisit comes before any capture, the others each after one more. Revisits spell the URL in another way. By
+    turns they carry the payload's digest (beside another etag), a weak etag, a last-modified time, nothing,
+    an etag that has changed, a time that has changed; half of the captures carry a digest, a fifth of the pages no etag.
     """
     page = pages.select(
         F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.coalesce("html", F.lit("")).alias("_html")
     ).select("_id", "_url", F.md5("_html").alias("_md5"), F.length("_html").alias("_size"))
     start = F.lit(1_700_000_000)
     text = lambda c: c.cast("string")
-    full = page.select(
-        (F.col("_id") * 2).alias("record_id"),
+    version = lambda turn: F.floor((F.col("_id") + turn + 2) / 2)
+    tag = lambda turn: F.concat(F.lit('"'), F.substring("_md5", 1, 12), F.lit("-"), text(version(turn)), F.lit('"'))
+    changed = lambda turn: text(start + version(turn) * 1000)
+    digest = lambda turn: F.concat("_md5", F.lit("-"), text(version(turn)))
+    headers = lambda **values: F.map_filter(
+        F.create_map(*[x for n, v in values.items() for x in (F.lit(n.replace("_", "-")), v)]), lambda k, v: v.isNotNull()
+    )
+    turn = F.col("_turn")
+    began = start + F.col("_id") * 60 + turn * APART
+    full = page.withColumn("_turn", F.explode(F.array(*map(F.lit, range(3))))).select(
+        (F.col("_id") * 16 + turn).alias("record_id"),
         F.col("_url").alias("url"),
-        F.timestamp_seconds(start + F.col("_id") * 60).alias("captured_at"),
+        F.timestamp_seconds(began).alias("captured_at"),
         F.lit("response").alias("type"),
-        F.create_map(
-            F.lit("Content-Type"), F.lit("text/html"), F.lit("ETag"), F.concat(F.lit('"'), F.substring("_md5", 1, 16), F.lit('"')),
-            F.lit("Date"), text(start + F.col("_id") * 60), F.lit("Cache-Control"), F.lit("max-age=60"),
-            F.lit("Content-Length"), text(F.col("_size")),
+        headers(
+            Content_Type=F.lit("text/html"), ETag=F.when(F.col("_id") % 5 != 1, tag(turn)), Last_Modified=changed(turn),
+            Date=text(began), Cache_Control=F.lit("max-age=60"), Content_Length=text(F.col("_size") + turn),
         ).alias("headers"),
-        F.when(F.col("_id") % 2 == 0, F.col("_md5")).alias("payload_digest"),
+        F.when((F.col("_id") + turn) % 2 == 1, digest(turn)).alias("payload_digest"),
     )
-    later = start + F.col("_id") * 60 + F.lit(86_400) * (1 + F.col("_id") % 2)
-    tag = F.when(F.col("_id") % 7 == 3, F.lit('"changed"')).otherwise(F.concat(F.lit('W/"'), F.substring("_md5", 1, 16), F.lit('"')))
-    again = page.where(F.col("_id") % 3 != 0).select(
-        (F.col("_id") * 2 + 1).alias("record_id"),
-        F.concat(F.regexp_replace("_url", "^http://", "HTTP://"), F.lit("#again")).alias("url"),
+    kind, later = (F.col("_id") + turn) % 6, began - 3600
+    etag = F.when(kind == 1, F.concat(F.lit("W/"), tag(turn - 1))).when(kind.isin(0, 4), F.lit('"other"'))
+    modified = F.when(kind.isin(2, 4), changed(turn - 1)).when(kind == 5, F.lit("0"))
+    again = page.withColumn("_turn", F.explode(F.array(*map(F.lit, range(4))))).select(
+        (F.col("_id") * 16 + 8 + turn).alias("record_id"),
+        F.concat(F.regexp_replace(F.regexp_replace("_url", "#.*$", ""), "^http", "HTTP"), F.lit("#again")).alias("url"),
         F.timestamp_seconds(later).alias("captured_at"),
         F.lit("revisit").alias("type"),
-        F.map_filter(
-            F.create_map(
-                F.lit("etag"), F.when(F.col("_id") % 7 != 5, tag), F.lit("date"), text(later),
-                F.lit("cache-control"), F.concat(F.lit("max-age="), text(F.col("_id") % 100)), F.lit("server"), F.lit("edge"),
-            ),
-            lambda k, v: v.isNotNull(),
+        headers(
+            etag=etag, last_modified=modified, date=text(later), server=F.lit("edge"),
+            cache_control=F.concat(F.lit("max-age="), text(F.col("_id") % 100)),
         ).alias("headers"),
-        F.lit(None).cast("string").alias("payload_digest"),
+        F.when(kind == 0, digest(turn - 1)).alias("payload_digest"),
     )
     return full.unionByName(again)

@@ -2,6 +2,7 @@ import random
 import re
 import time
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -246,6 +247,73 @@ def test_a_text_scores_the_same_beside_any_other():
     assert np.allclose(of(texts), alone, atol=1e-3, rtol=1e-5)
 
 
+def tiny_weights(rng, kind=np.float64):
+    shape = len(toxicity.WIDTHS) * toxicity.FILTERS
+    embed = rng.normal(0, 0.5, (toxicity.BUCKETS + 1, toxicity.DIMENSIONS)).astype(kind)
+    embed[toxicity.BUCKETS] = 0
+    kernels = [rng.normal(0, 0.5, (w, toxicity.DIMENSIONS, toxicity.FILTERS)).astype(kind) for w in toxicity.WIDTHS]
+    return [embed, *kernels, rng.normal(0, 0.3, shape).astype(kind), rng.normal(0, 0.5, shape).astype(kind)]
+
+
+def naive_logit(ids, weights, intercept):
+    """One text at a time: every filter at every word, the best answer of each filter, then the output layer."""
+    embed, *kernels, bias, output = weights
+    words = [embed[row].sum(0) for row in ids] or [embed[toxicity.BUCKETS] * toxicity.PARTS]
+    tops = []
+    for kernel in kernels:
+        answers = []
+        for at in range(len(words)):
+            total = 0
+            for j in range(len(kernel)):
+                total = total + (words[at + j] @ kernel[j] if at + j < len(words) else 0)
+            answers.append(total)
+        tops += list(np.max(answers, axis=0))
+    return float(np.maximum(np.array(tops) + bias, 0) @ output + intercept)
+
+
+def test_scores_equal_a_naive_convolution(monkeypatch):
+    monkeypatch.setattr(toxicity, "SPAN", 7)  # pooling goes on over the borders of spans
+    rng = np.random.default_rng(3)
+    weights = tiny_weights(rng, np.float32)
+    texts = ["", "one", "a b", "so many words in this line here", "!!", "x " * 40, "the the the", None]
+    flat, counts = toxicity.buckets(pa.array(texts))
+    known = np.zeros((toxicity.BUCKETS + 1, 1), np.float32)
+    model = toxicity.Model(weights[0], weights[1:-2], weights[-2], weights[-1], 0.25, known, np.zeros(1), 0.5, True)
+    raw, _ = model.raw(flat, counts)
+    scores, _ = model.scores(flat, counts)
+    for own, logit, score in zip(np.split(flat, np.cumsum(counts)[:-1]), raw, scores, strict=True):
+        expected = naive_logit(own, weights, 0.25)
+        assert abs(logit - expected) < 1e-3 and abs(score - 1 / (1 + np.exp(-expected))) < 1e-3
+
+
+def test_gradients_of_the_toxicity_model():
+    rng = np.random.default_rng(4)
+    weights, labels = tiny_weights(rng), np.array([1.0, 0.0, 1.0, 0.0])
+    flat, counts = toxicity.buckets(pa.array(["ugly words here", "fine", "", "more fine words and more"]))
+    ids = np.split(flat, np.cumsum(counts)[:-1])
+
+    def loss():
+        logits = np.array([naive_logit(own, weights, -0.2) for own in ids])
+        decayed = sum(float((w**2).sum()) for w in [*weights[1:-2], weights[-1]]) * toxicity.DECAY / 2
+        return float((np.log1p(np.exp(logits)) - labels * logits).mean()) + decayed
+
+    touched, g_embed, rest, g_intercept = toxicity.gradients(ids, labels, weights, -0.2)
+    for k, gradient in enumerate([g_embed, *rest]):
+        for _ in range(6):
+            place = tuple(int(rng.integers(0, n)) for n in gradient.shape)
+            at = (int(touched[place[0]]), *place[1:]) if k == 0 else place
+            if k == 0 and at[0] == toxicity.BUCKETS:
+                continue
+            kept = weights[k][at]
+            ends = []
+            for step in (1e-6, -1e-6):
+                weights[k][at] = kept + step
+                ends.append(loss())
+            weights[k][at] = kept
+            assert abs((ends[0] - ends[1]) / 2e-6 - gradient[place]) < 1e-4
+    assert abs(g_intercept) < 1
+
+
 def test_scoring_a_whole_batch_takes_little_memory(spark):
     rng = random.Random(6)
     text = " ".join("".join(rng.choices("aeilmnst", k=5)) for _ in range(300))
@@ -284,3 +352,79 @@ def test_kneser_ney_sums_to_one_and_tells_languages_apart(spark, monkeypatch):
     assert language_id.predict(docs.limit(0), model).count() == 0
     empty = language_id.fit(docs.limit(0))
     assert {r.lang_pred for r in language_id.predict(docs, empty).collect()} == {"und"}
+
+
+def dictionary_model(texts, order):
+    """Interpolated Kneser-Ney by dictionaries: counts of the highest order, continuation counts below."""
+    counts = [Counter() for _ in range(order + 1)]
+    for text in texts:
+        padded = (0,) * (order - 1) + tuple(text)
+        for k in range(len(text)):
+            counts[order][padded[k : k + order]] += 1
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(gram[1:] for gram in counts[n + 1])
+    discounts, totals, followers = {}, [Counter() for _ in counts], [Counter() for _ in counts]
+    for n in range(1, order + 1):
+        once, twice = (sum(c == k for c in counts[n].values()) for k in (1, 2))
+        discounts[n] = once / (once + 2 * twice) if once else 0.5
+        for gram, count in counts[n].items():
+            totals[n][gram[:-1]] += count
+            followers[n][gram[:-1]] += 1
+
+    def probability(gram):
+        n = len(gram)
+        if not n:
+            return 1 / language_id.CLASSES
+        lower, context = probability(gram[1:]), gram[:-1]
+        if not totals[n][context]:
+            return lower
+        own = max(counts[n][gram] - discounts[n], 0) + discounts[n] * followers[n][context] * lower
+        return own / totals[n][context]
+
+    return probability
+
+
+def test_language_models_equal_dictionaries():
+    rng = random.Random(7)
+    says = {"a": "abcde ", "b": "cdefgh ", "z": "öüабв "}
+    texts = ["".join(rng.choices(letters, k=rng.randrange(0, 60))) for letters in says.values() for _ in range(40)]
+    languages = [name for name in says for _ in range(40)]
+    model = language_id.train(texts, languages, rejected=0.05)
+    held = np.random.default_rng(5).random(len(texts)) < 0.1
+    order = language_id.ORDER
+    of = lambda text: model.classes[language_id._points(text)].tolist()
+    naive = {
+        name: dictionary_model([of(t) for t, x, h in zip(texts, languages, held, strict=True) if x == name and not h], order) for name in says
+    }
+    asked = [*texts[:5], *texts[60:65], *texts[-5:], "", "zzz q!", "abc" * 500, "日本語", None, "12 34"]
+    entropy, letters = model.entropies([t or "" for t in asked])
+    language, score, lowest, rejected = model.predict(asked)
+    for k, text in enumerate(asked):
+        classes = [0] * (order - 1) + of(text or "")
+        size = len(text or "")
+        own = [
+            -sum(np.log(naive[name](tuple(classes[at : at + order]))) for at in range(size)) / max(size, 1) for name in model.languages
+        ]
+        assert np.allclose(entropy[k], own, atol=2e-4)
+        assert letters[k] == sum(c.isalpha() for c in text or "")
+        best = int(np.argmin(own))
+        if not letters[k]:
+            assert (language[k], score[k], bool(rejected[k])) == ("und", 0.0, True)
+        else:
+            assert language[k] == model.languages[best] and 0 < score[k] <= 1
+            assert bool(rejected[k]) == (own[best] > model.bounds[best])
+
+
+def test_the_alphabet_is_a_parameter():
+    texts = ["aaaa bbb cc d"] * 3
+    wide, narrow = language_id.letter_classes(texts), language_id.letter_classes(texts, 2)
+    assert len({int(wide[ord(c)]) for c in "abcd"}) == 4
+    assert len({int(narrow[ord(c)]) for c in "abcd"}) == 3 and narrow[ord("c")] == narrow[ord("d")] == narrow[ord("z")]
+
+
+def test_languages_of_repeated_rows(spark):
+    rows = [(k % 7, t, x) for k, (t, x) in enumerate([("abc abd", "x"), ("xyz yxz", "y"), (None, "x"), ("", None)] * 10)]
+    docs = spark.createDataFrame([*rows, (None, "abc", "x"), (None, "abc", "x")], "doc_id long, text string, lang string")
+    found = language_id.predict(docs, language_id.fit(docs)).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in [*rows, (None,), (None,)])
+    assert len({(r.lang_pred, r.score) for r in found if r.doc_id is None}) == 1

@@ -119,7 +119,8 @@ def test_revisits_equal_brute_force(spark):
     for k in range(400):
         full = rng.random() < 0.4
         when = None if k % 50 == 49 else start + timedelta(minutes=rng.randrange(150))
-        headers = {"ETag": rng.choice(['"1"', 'W/"2"'])} if rng.random() < 0.8 else {}
+        headers = {"ETag": rng.choice(['"1"', 'W/"2"'])} if rng.random() < 0.6 else {}
+        headers |= {"Last-Modified": rng.choice(["Mon", "Tue"])} if rng.random() < 0.5 else {}
         headers |= {"Cache-Control": f"max-age={k}", "Server": f"s{k}"}
         digest = rng.choice([None, "d1", "d2"])
         rows.append((k, urls[min(3, k % 5 // 1 if k % 5 < 3 else 0)], when, "response" if full else "revisit", headers, digest, "x"))
@@ -138,10 +139,29 @@ def test_revisits_equal_brute_force(spark):
             continue
         origin = max(before, key=lambda r: (r[2], r[0]))
         tag = lambda h: (h.get("ETag") or "").removeprefix("W/") or None
-        pairs = [(digest, origin[5]), (tag(headers), tag(origin[4]))]
+        pairs = [(digest, origin[5]), (tag(headers), tag(origin[4])), (headers.get("Last-Modified"), origin[4].get("Last-Modified"))]
         checks = [a == b for a, b in pairs if a and b]
         outcome = "no_validator" if not checks else "resolved" if checks[0] else "validator_mismatch"
         assert (own.outcome, own.original_id) == (outcome, origin[0] if outcome == "resolved" else None)
         if outcome == "resolved":
-            low = {k.lower(): v for k, v in origin[4].items()} | {k.lower(): v for k, v in headers.items() if k != "Server"}
+            low = {k.lower(): v for k, v in origin[4].items()} | {k.lower(): v for k, v in headers.items() if k not in ("Server", "Last-Modified")}
             assert own.headers == low and own.payload_digest == origin[5]
+
+
+def test_no_records(spark):
+    schema = "record_id long, url string, captured_at timestamp, type string, headers map<string,string>, payload_digest string"
+    assert revisits.resolve(spark.createDataFrame([], schema)).count() == 0
+    assert revisits.crawl_of(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_the_query_uses_every_validator_and_outcome(spark):
+    rows = [(k, f"http://a{k % 40}.example/x{k // 40}", f"<p>{k}</p>") for k in range(120)] + [(None, None, None)]
+    crawl = revisits.crawl_of(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert crawl.where("type = 'response'").groupBy("url").count().agg({"count": "max"}).first()[0] == 3
+    found = revisits.resolve(crawl).where("url is not null").collect()
+    assert {r.outcome for r in found} == {"resolved", "validator_mismatch", "no_validator", "no_original"}
+    by_kind = {kind: {r.outcome for r in found if (r.record_id // 16 + r.record_id % 16 - 8) % 6 == kind} for kind in range(6)}
+    assert by_kind[0] == by_kind[2] == {"no_original", "resolved"} and by_kind[5] == {"no_original", "validator_mismatch"}
+    assert by_kind[1] == {"no_original", "resolved", "no_validator"} and by_kind[3] == {"no_original", "no_validator"}
+    assert by_kind[4] == {"no_original", "resolved", "validator_mismatch"}
+    assert {r.original_id % 16 for r in found if r.outcome == "resolved"} == {0, 1, 2}  # the latest of several
