@@ -291,7 +291,7 @@ def load_day(spark: SparkSession, places: Places, business_date: str, before: Sn
         path = after.path(spec.table, "carried", load_id)
         carried.write.mode("overwrite").partitionBy("is_current").parquet(path)
         fresh = fresh_rows(stage, after.kept(spec.table), spec)
-        opened = open_versions(fresh, spec, business_date, before.ever_opened(spec.table))
+        opened = open_versions(fresh, spec, business_date, before.latest_opened(spec.table))
         publish(opened, after.path(spec.table, "opened", load_id), DIMENSIONS[spec.table], spec.table)
 
     def fact(spec: Fact) -> None:
