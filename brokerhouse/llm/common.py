@@ -94,7 +94,7 @@ def tidied(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
 
 
 def by_bytes(batch: pa.RecordBatch, text_col: str, most: int = BLOCK, rows: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts hold at most `most` bytes together and `rows` rows; a longer text comes alone."""
+    """Slices of a batch whose texts (or binaries) hold at most `most` bytes together and `rows` rows; a longer one comes alone."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     lo = 0
     while lo < batch.num_rows:

@@ -41,6 +41,8 @@ MEETS, IS_MET, MINOR = 1, 2, 4
 FEW_WORDS, MOST_WORDS = 1 << 14, 1 << 23
 #: Keys that one slot of a tally should hold, and slots there are at least, as a power of two: many, so that tasks get like shares.
 SLOT, SLOT_BITS = 1 << 21, 9
+#: Bytes of packed keys that a task works on at a time.
+PACKED = 1 << 22
 
 
 def digest(found: np.ndarray) -> tuple[int, int]:
@@ -197,9 +199,10 @@ def tallied(packed: DataFrame, column: str, number: int, least: int = 2) -> Data
     bits = max(SLOT_BITS, math.ceil(math.log2(max(2, number / SLOT))))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1 << 15):
-            own = np.frombuffer(b"".join(x for x in part.column(column).to_pylist() if x), np.uint64)
-            yield packed_slots(*np.unique(own, return_counts=True))
+        for batch in batches:
+            for part in by_bytes(batch, column, PACKED, 1 << 15):
+                own = np.frombuffer(b"".join(x for x in part.column(column).to_pylist() if x), np.uint64)
+                yield packed_slots(*np.unique(own, return_counts=True))
 
     def packed_slots(values: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
         slot = values >> np.uint64(64 - bits)
@@ -257,13 +260,14 @@ def shared_cells(keyed: DataFrame, column: str, *others: str, node: str) -> Data
     discard(shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2048):
-            packed = [np.frombuffer(x or b"", np.int64) for x in part.column(column).to_pylist()]
-            owner = np.repeat(np.arange(len(packed)), [len(x) for x in packed])
-            keys = np.concatenate(packed)
-            keep = in_bloom(bits, keys)
-            rest = [part.column(c).take(pa.array(owner[keep])) for c in others]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), *rest], ["_cell", *others])
+        for batch in batches:
+            for part in by_bytes(batch, column, PACKED, 1 << 15):
+                packed = [np.frombuffer(x or b"", np.int64) for x in part.column(column).to_pylist()]
+                owner = np.repeat(np.arange(len(packed)), [len(x) for x in packed])
+                keys = np.concatenate(packed)
+                keep = in_bloom(bits, keys)
+                rest = [part.column(c).take(pa.array(owner[keep])) for c in others]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), *rest], ["_cell", *others])
 
     kinds = ", ".join(f"{c} {keyed.schema[c].dataType.simpleString()}" for c in others)
     near = materialize(keyed.select(column, *others).mapInArrow(tidied(run), f"_cell long, {kinds}"))
