@@ -486,6 +486,12 @@ LOAD_REPORT = _with(
                 "count(*)",
                 "FROM account_versions WHERE account_id IN (SELECT account_id FROM account_versions GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL",
             ),
+            _lines(
+                "rejects",
+                "'customers_snapshot null city_name'",
+                "count(*)",
+                "FROM customers_both WHERE city_name IS NULL HAVING count(*) > 0",
+            ),
             *[_lines("rows", f"'{name}'", "count(*)", f"FROM ({sql})") for name, sql in _SIZES.items()],
         ]
     ),
