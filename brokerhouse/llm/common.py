@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Callable, Iterator
 from functools import wraps
 from urllib.parse import unquote
@@ -11,14 +12,14 @@ from urllib.parse import unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brokerhouse.sources.work import materialize, work_dir
 
 __all__ = [
     "bloom_bits", "by_bytes", "discard", "exact_products", "fold", "free_names", "in_bloom", "materialize", "quiet", "same_columns", "sample_rows",
-    "shingle_sets", "text_bytes", "texts_of", "tidied", "word_hashes",
+    "shingle_sets", "small_batches", "text_bytes", "texts_of", "tidied", "word_hashes",
 ]
 
 #: Bytes of text that numpy works on at a time.
@@ -104,6 +105,24 @@ def by_bytes(batch: pa.RecordBatch, text_col: str, most: int = BLOCK, rows: int
         lo = hi
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Let tasks exchange batches of at most `size` bytes from now on, unless the session already asks for less.
+
+    A batch is held by the executor and by its Python worker, in each as memory that is kept for the next one.
+    """
+    if not 0 < _bytes(spark.conf.get(_BATCH, "64m")) <= _bytes(size):
+        spark.conf.set(_BATCH, size)
+
+
+def _bytes(size: str) -> int:
+    """Bytes of a size as settings have it, such as 67108864b or 8m."""
+    number, unit = re.fullmatch(r"(-?[0-9]+)([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Texts of an Arrow column, null as the empty text."""
     return [t or "" for t in column.to_pylist()]
