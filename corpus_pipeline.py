@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, folder of the tables) and returns a DataFrame; `run` writes each result as Parquet to the
 work folder and reads it again. All stages but the last return the columns of `documents`. Empty documents give
-empty results; null texts count as empty; rows that repeat id and text count as copies in the second stage.
+empty results; null texts count as empty; rows that repeat id and text count as copies in the second stage. Each stage sets
+the session to small Arrow batches, as executors run the stages one after the other and keep what any of them has needed.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brokerhouse.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
-from brokerhouse.llm.common import fold, free_names, materialize, same_columns
+from brokerhouse.llm.common import fold, free_names, materialize, same_columns, small_batches
 from brokerhouse.llm.queries import quality_of, vocabulary
 
 #: Score from which a document is rejected as toxic.
@@ -28,6 +29,7 @@ def _text_key(*others: str) -> Column:
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from three quarters of the labels."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(fold("doc_id", 4) != 2)
     model = toxicity.fit(docs, labels, threshold=TOXIC)
     (score,) = free_names(docs, "_score")
@@ -36,11 +38,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
+    small_batches(spark)
     return exact_dedup.without_duplicates(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each class of near duplicates the row with the least id stays; a null id only where all are null."""
+    small_batches(spark)
     key, kept = free_names(docs, "_key", "_kept")
     named = docs.withColumn(key, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _text_key().alias("text")))
     found = ngram_join.classes(named, WORDS, PERCENT, id_col=key)
@@ -51,6 +55,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each document is there as many times as the mix takes it."""
+    small_batches(spark)
     key, size, weight, dealt, number, turn, copy = free_names(
         docs, "_key", "_size", "_weight", "_dealt", "_number", "_turn", "_copy"
     )
@@ -75,6 +80,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every whole text in place of the text, and whether they decode to it."""
+    small_batches(spark)
     encoded = bpe.encode_documents(docs, vocabulary())
     (count,) = free_names(encoded, "n_tokens")
     return encoded.withColumn(count, F.size(encoded.columns[-2]))
