@@ -343,9 +343,9 @@ def dq_published(spark: SparkSession, folder: str) -> DataFrame:
         check(spark, places, FIRST_DAY)
     read = lambda name, columns: spark.read.schema(columns).json(places.quality(FIRST_DAY, name))
     summary = read("summary", "dataset_name string, failed_rule_outcomes bigint, dataset_status string")
-    status = read("pipeline_status", "business_date string, pipeline_status string, total_failed_rule_outcomes bigint")
-    results = read("results", RESULT_COLUMNS).withColumn("business_date", F.lit(FIRST_DAY))
-    return results.join(summary, "dataset_name", "left").join(status, "business_date").drop("business_date")
+    status = read("pipeline_status", "pipeline_status string, total_failed_rule_outcomes bigint")  # one row
+    of_all = {name: status.select(name).scalar() for name in status.columns}
+    return read("results", RESULT_COLUMNS).join(summary, "dataset_name", "left").withColumns(of_all)
 
 
 def transaction_metrics(spark: SparkSession, folder: str) -> DataFrame:
