@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.common import sample_rows, tidied
+from brokerhouse.llm.common import by_bytes, sample_rows, tidied
 
 ORDER = 4
 #: Bits of a character's class: class 0 is all that is no letter, the last one a letter outside the alphabet.
@@ -234,8 +234,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in by_bytes(batch, "_text", rows=512):
                 language, score, entropy, rejected = model.predict(part.column("_text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), pa.array(language, pa.string()), pa.array(score), pa.array(entropy), pa.array(rejected)],
