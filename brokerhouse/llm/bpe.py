@@ -223,7 +223,10 @@ class Bpe:
                 if special is not None:
                     ids.append(special)
                 else:
-                    ids.extend(itertools.chain.from_iterable(map(self.encode_chunk, chunks)))
+                    found = list(map(self.kept.get, chunks))
+                    if not all(found):  # a chunk that is not kept, as it is too long
+                        found = [own or self.encode_chunk(chunk) for own, chunk in zip(found, chunks, strict=True)]
+                    ids.extend(itertools.chain.from_iterable(found))
             out.append(ids)
         return out
 
