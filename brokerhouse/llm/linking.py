@@ -7,7 +7,7 @@ which reach the wanted similarity share a cell. Cells may be huge, so pairs are
    entries. Pairs are checked by sketches of the sets (bounds that never rule out a link), small ones and then finer ones,
    and verified on whole sets.
 2. Components of the links found so far need no more pairs within themselves. What is left are pairs in cells that hold
-   nodes of different components. These meet in blocks, where sketches leave few pairs, and are verified as well, all of
+   nodes of different components, a group that shares no cell being one by itself. These meet in blocks, where sketches leave few pairs, and are verified as well, all of
    them; no list of all pairs is ever made.
 
 So every link between different components is found, and components are exact; pairs within a component that is already
@@ -252,7 +252,7 @@ def tallied(packed: DataFrame, column: str, number: int, least: int = 2) -> Data
 def shared_cells(keyed: DataFrame, column: str, *others: str, node: str) -> DataFrame:
     """`_cell` and the columns `others`: a row for each 64-bit key of a binary column that rows of other nodes have too; written.
 
-    Of keys that are shared by the same nodes, one stays. A row should hold a key once, and a node have one row.
+    Of keys that are shared by the same nodes, one stays. A node that shares no key gets no row; `linked` sees to the pairs in it. A row should hold a key once, and a node have one row.
     """
     number = keyed.agg(F.coalesce(F.sum(F.length(column) / 8), F.lit(0)).cast("long")).first()[0]
     shared = tallied(keyed, column, number)
@@ -454,13 +454,19 @@ def linked(
             "_node", "_rep", F.coalesce("component", "_node").alias("_part")
         )
     )
-    spread = placed.groupBy("_rep").agg(F.min("_part").alias("_lo"), F.max("_part").alias("_hi"))
-    parted = materialize(entries.join(spread, "_rep").select("_cell", "_rep", "_copies", "_lo", "_hi"))
+    spread = placed.groupBy("_rep").agg(
+        F.min("_part").alias("_lo"), F.max("_part").alias("_hi"), F.max(F.when(F.col("_node") == F.col("_rep"), F.col("_part"))).alias("_own")
+    )
+    columns = ("_cell", "_rep", "_copies", "_lo", "_hi", "_own")
+    # a group without a shared cell has no entry: where its nodes are not all connected, it is a cell by itself
+    alone = spread.where("_lo <> _hi").join(entries.select("_rep").distinct(), "_rep", "left_anti")
+    alone = alone.withColumns({"_cell": F.xxhash64("_rep"), "_copies": F.lit(0).cast("long")}).select(*columns)
+    parted = materialize(entries.join(spread, "_rep").select(*columns).unionByName(alone))
     open_ = materialize(
         parted.groupBy("_cell")
-        .agg(F.min("_lo").alias("_least"), F.max("_hi").alias("_most"), F.max(F.struct("_copies", "_lo")).alias("_top"))
+        .agg(F.min("_lo").alias("_least"), F.max("_hi").alias("_most"), F.max(F.struct("_copies", "_own")).alias("_top"))
         .where("_least <> _most")
-        .select("_cell", F.col("_top._lo").alias("_main"))
+        .select("_cell", F.col("_top._own").alias("_main"))
     )
     there = parted.select("_cell", "_rep").join(open_, "_cell").join(placed, "_rep").select(
         "_cell", "_node", "_part", (F.col("_part") != F.col("_main")).alias("_minor")

@@ -4,9 +4,11 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brokerhouse.llm import exact_dedup, linking, minhash_dedup, ngram_join
+from brokerhouse.llm.common import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NAMES = "doc_id long, text string, _sha int"
@@ -74,6 +76,29 @@ def test_classes_equal_brute_force(spark, monkeypatch, size, percent, hot):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == brute_classes(rows, size, percent)
 
 
+def same_prefixes(words, percent):
+    """Texts that have their prefix and size in common and share no cell with others: two near copies, far from their foremost."""
+    rng = random.Random(2)
+    first = ngram_join.prefix_size(100, percent)
+    while True:
+        base = [f"v{rng.randrange(10**6)}" for _ in range(100 + words - 1)]
+        one = base[:-20] + [f"u{rng.randrange(10**6)}" for _ in range(20)]
+        two = [*one[:-1], f"t{rng.randrange(10**6)}"]
+        texts = [" ".join(x) for x in (base, one, two)]
+        sets = list(shingle_sets(pa.array(texts), words))
+        if all(len(s) == 100 and (s[:first] == sets[0][:first]).all() for s in sets):
+            return texts
+
+
+def test_near_copies_of_one_group_that_shares_no_cell_are_linked(spark):
+    base, one, two = same_prefixes(3, 90)
+    rows = [(1, base, 0), (2, base, 0), (3, one, 0), (4, two, 0), (5, "another text than these", 0)]
+    found = ngram_join.classes(spark.createDataFrame(rows, NAMES), 3, 90)
+    expected = brute_classes(rows, 3, 90)
+    assert [c for *_, c in expected] == [1, 1, 3, 3, 5]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=str) == expected
+
+
 @pytest.mark.parametrize(("size", "percent", "meeting"), [(3, 85, 16), (5, 80, 512)])
 def test_tensored_bands_equal_brute_force(spark, monkeypatch, size, percent, meeting):
     monkeypatch.setattr(minhash_dedup, "MEETING", meeting)
