@@ -133,6 +133,54 @@ def test_toxicity_learns_and_scores_blocks_alike(spark, monkeypatch):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    seen, rng = [], random.Random(9)
+    texts = [" ".join("".join(rng.choices("aeioulmnrst", k=5)) for _ in range(rng.randrange(1, 20))) for _ in range(4000)]
+    texts += ["", "calm " * 5000 + "scum " * 5000]  # 50,000 characters
+    rows = [(k, f"scum {t}" if t and k % 2 else t, "en") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k, *_ in rows], "doc_id long, toxic int")
+    packed = toxicity.packed_rows(docs, labels, "doc_id", "text", "lang", "toxic").collect()
+    flat, counts = toxicity.buckets(pa.array([t for _, t, _ in rows]))
+    own = np.split(flat.astype(np.uint16), np.cumsum(counts)[:-1])
+    assert sorted(bytes(r._words) for r in packed) == sorted(x.tobytes() for x in own)
+
+    def count(shards, weights, intercept, seed):
+        seen.append([(len(r._words), r._label) for r in shards.collect()])
+        return weights, intercept
+
+    def cuts(held, model):
+        seen.append([(len(r._words), r._label) for r in held.collect()])
+        return counted(held, model)
+
+    counted = toxicity.counts_at_logits
+    monkeypatch.setattr(toxicity, "one_round", count)
+    monkeypatch.setattr(toxicity, "counts_at_logits", cuts)
+    model = toxicity.fit(docs, labels)
+    freq = np.ones(toxicity.BUCKETS + 1)
+    np.add.at(freq, flat[:, 1], 1)
+    assert np.allclose(model.languages[:, 0], toxicity.log_frequencies(freq), atol=1e-5)
+    *turns, held = seen
+    everything = sorted((2 * x.size, k % 2) for k, x in enumerate(own))
+    assert len(turns) >= 4 and all(sorted(t + held) == everything for t in turns)
+    assert 600 < len(held) < 1000
+
+
+def test_gradients_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    weights, labels = tiny_weights(rng), np.array([1.0, 0.0, 1.0, 0.0])
+    flat, counts = toxicity.buckets(pa.array(["ugly words here " * 5, "", "fine", "more fine words and more"]))
+    ids = np.split(flat, np.cumsum(counts)[:-1])
+    whole = toxicity.gradients(ids, labels, weights, 0.1)
+    monkeypatch.setattr(toxicity, "SPAN", 3)
+    parts = toxicity.gradients(ids, labels, weights, 0.1)
+    assert (whole[0] == parts[0]).all() and abs(whole[3] - parts[3]) < 1e-12
+    assert all(np.allclose(x, y, atol=1e-12) for x, y in zip([whole[1], *whole[2]], [parts[1], *parts[2]], strict=True))
+    assert [(s.start, s.stop) for s in toxicity.steps([5] * 70)] == [(0, 32), (32, 64), (64, 70)]
+    assert [(s.start, s.stop) for s in toxicity.steps([0, 1 << 20, 1])] == [(0, 1), (1, 2), (2, 3)]
+    assert list(toxicity.steps([])) == []
+
+
 def personal(rng):
     """A datum of each kind as the base patterns know it."""
     head = rng.choice("3456") + "".join(rng.choices("0123456789", k=14))
