@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brokerhouse.llm.common import materialize
+
 #: Headers that a not-modified answer may update (RFC 9110, 15.4.5, and stored-response freshness).
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "vary")
 PIECES = 64
@@ -72,7 +74,8 @@ def resolve(records: DataFrame, pieces: int = PIECES) -> DataFrame:
         lower_headers(F.col("headers")).alias("_headers"),
         F.col("payload_digest").alias("_digest"),
     )
-    cuts = records.select(F.unix_micros("captured_at").alias("_time")).agg(
+    slim = materialize(slim)  # read three times: URLs and headers are put in form once
+    cuts = slim.agg(
         F.percentile_approx("_time", [k / pieces for k in range(1, pieces)], 10 * pieces).alias("_cuts")
     ).first()["_cuts"] or []
     edges = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<long>")

@@ -165,3 +165,11 @@ def test_the_query_uses_every_validator_and_outcome(spark):
     assert by_kind[1] == {"no_original", "resolved", "no_validator"} and by_kind[3] == {"no_original", "no_validator"}
     assert by_kind[4] == {"no_original", "resolved", "validator_mismatch"}
     assert {r.original_id % 16 for r in found if r.outcome == "resolved"} == {0, 1, 2}  # the latest of several
+
+
+def test_revisits_put_urls_in_form_once(spark):
+    pages = spark.createDataFrame([(1, "http://A.example/x?b=1&a=2", "text")], "page_id long, url string, html string")
+    found = revisits.resolve(revisits.crawl_of(pages))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "^.*@" not in plan and "http" not in plan  # the plan reads what was written
+    assert {r.url for r in found.collect()} == {"http://a.example/x?a=2&b=1"}
