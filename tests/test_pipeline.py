@@ -8,6 +8,7 @@ import json
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -539,6 +540,20 @@ def test_years_of_days_are_filled_in_at_once(spark, tmp_path):
     assert nothing.last_load == 4 and open_warehouse(spark, root).loads == again.loads
 
 
+def test_ids_and_amounts_are_written_without_a_dictionary(spark, tmp_path):
+    root, plain = tmp_path / "warehouse", {"trade_id", "order_id", "account_id", "trade_timestamp", "executed_price", "net_trade_amount"}
+    rows = lambda day: _text_rows(spark, "fact_trades", [_fact_row("fact_trades", day, k % 4) for k in range(400)]).coalesce(1)
+    backfill(spark, str(root), {"fact_trades": rows(D1)})
+    load_facts(spark, str(root), D2, {"fact_trades": rows(D2)})
+    files = list((root / "fact_trades").glob("*/*/*.parquet"))
+    assert len(files) == 2
+    for file in files:
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        columns = [group.column(i) for i in range(group.num_columns)]
+        encoded = {c.path_in_schema for c in columns if any("DICTIONARY" in e for e in c.encodings)}
+        assert not encoded & plain and "trade_side" in encoded
+
+
 def test_missing_column_stops_before_anything_is_written(spark, tmp_path):
     write_reference(tmp_path, ADVISORS)
     raw = tmp_path / "raw"
