@@ -374,6 +374,24 @@ def test_holdings(spark):
         lifecycle.end_of_day_holdings(df, prices.where("instrument_id = 'i'")).collect()
 
 
+def test_joins_within_a_day_sort_by_the_id_first(spark):
+    df = _trades(spark, ("TRD00000010", "a", "i", "BUY", 2, "1.50"), ("TRD00000011", "b", "j", "BUY", 1, "4.00"))
+    told = df.select("business_date", "trade_id", F.lit("SETTLED").alias("settlement_status"))
+    prices = df.select("business_date", "instrument_id", F.lit("1.00").cast("decimal(18,2)").alias("close_price"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for got, key in (
+            (lifecycle.next_day_settlements(df, told), "trade_id"),
+            (lifecycle.end_of_day_holdings(df, prices), "instrument_id"),
+        ):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            sorts = [line.split("Sort [")[1] for line in plan.splitlines() if "Sort [" in line]
+            assert "SortMergeJoin" in plan and sorts and all(order.startswith(key) for order in sorts)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_executable_orders_and_active_accounts(spark):
     orders = spark.createDataFrame(
         [("1", "COMPLETED", "5.0"), ("2", "COMPLETED", "0"), ("3", "CANCELLED", "5"), ("4", "COMPLETED", "0.9")],
