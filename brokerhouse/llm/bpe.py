@@ -17,8 +17,9 @@ import heapq
 import itertools
 import json
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import PreTokenizer
 
-from brokerhouse.llm.common import free_names, texts_of, tidied
+from brokerhouse.llm.common import by_bytes, free_names, texts_of, tidied
 
 #: White space of the byte-level pre-tokenizer (fixed value). A run without it, with the one blank before it if any,
 #: is a chunk: no piece of the pre-tokenizer reaches over the border of two chunks.
@@ -37,11 +38,14 @@ _CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: a chunk of other characters is split by the pre-tokenizer itself.
 _LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _USUAL = re.compile(" ?[!-~\xc0-\xff\xa1\xa7\xab\xbb\xbf]+")
-_PIECE = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[0-9]+| ?[^ {_LETTER}0-9]+")
-#: Chunks longer than this are not remembered, and memory holds at most so many others.
+#: Pieces of usual chunks that are written one a line; the end of a line comes out as a piece of its own.
+_PIECE = re.compile(f"\n|'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[0-9]+| ?[^ \n{_LETTER}0-9]+")
+#: Chunks longer than this are not remembered after their batch; beyond so many others, all are forgotten.
 LONGEST_KEPT, MOST_KEPT = 64, 400_000
-#: Documents that are encoded together.
-TOGETHER = 256
+#: Fragments of more bytes than this are merged one by one, others with all of their length.
+LONGEST_ROW = 128
+#: Documents that are encoded together, and their bytes; a longer one comes alone.
+TOGETHER, TOGETHER_BYTES = 256, 4 << 20
 _NO_RANK = np.iinfo(np.int32).max
 
 
@@ -61,7 +65,6 @@ class Bpe:
     special: dict[str, int]
     token_bytes: list[bytes]
     pre_tokenizer: PreTokenizer
-    kept: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.bridged = np.zeros((256, 256), bool)
@@ -72,9 +75,13 @@ class Bpe:
         keys = np.array([left << 32 | right for left, right in self.merges], np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
-        self.ranks, self.wholes = (
-            np.append(np.array([m[k] for m in self.merges.values()], np.int32)[order], _NO_RANK) for k in (0, 1)
-        )
+        rank, whole = np.array(list(self.merges.values()), np.int32).reshape(-1, 2).T
+        self.ranks = np.append(rank[order], _NO_RANK)
+        self.wholes = np.zeros(int(rank.max(initial=-1)) + 1, np.int32)  # by rank
+        self.wholes[rank] = whole
+        self.byte_ranks = self._ranks(self.byte_ids[:, None], self.byte_ids)
+        self.token_objects = np.array(self.token_bytes, object)
+        self._forget()
 
     @classmethod
     def read(cls, path: str) -> Bpe:
@@ -95,80 +102,102 @@ class Bpe:
             token_bytes[i] = text.encode()
         return cls(ids, merges, special, token_bytes, Tokenizer.from_file(path).pre_tokenizer)
 
-    def pieces(self, chunk: str) -> list[bytes]:
-        if _USUAL.fullmatch(chunk):
-            return [p.encode() for p in _PIECE.findall(chunk)]
-        return [chunk[a:b].encode() for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(chunk)]
+    def _forget(self) -> None:
+        """Remember no chunk but the special tokens. Chunks are numbered as they are met; their ids stand in that order."""
+        self.kept = defaultdict(itertools.count(len(self.special)).__next__, {t: k for k, t in enumerate(self.special)})
+        self.known = np.fromiter(self.special.values(), np.int32, len(self.special))
+        self.begins = np.arange(len(self.special) + 1)
+
+    def pieces(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Pieces of the pre-tokenizer, and for each chunk the place of its first one and their number."""
+        usual = np.fromiter(map(bool, map(_USUAL.fullmatch, chunks)), bool, len(chunks))
+        out = _PIECE.findall("\n".join([*itertools.compress(chunks, usual), ""]))
+        ends = np.flatnonzero(np.fromiter(map("\n".__eq__, out), bool, len(out)))
+        first, count = np.zeros((2, len(chunks)), np.int64)
+        first[usual] = np.append(0, ends + 1)[:-1]
+        count[usual] = ends - first[usual]
+        for k in np.flatnonzero(~usual).tolist():
+            own = [chunks[k][a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(chunks[k])]
+            first[k], count[k] = len(out), len(own)
+            out += own
+        return out, first, count
+
+    def _cuts(self, row: np.ndarray) -> np.ndarray:
+        """Whether a fragment begins at each byte: two neighbours that stand together in no token are cut apart."""
+        cut = np.ones(len(row), bool)
+        cut[1:] = ~self.bridged[row[:-1], row[1:]]
+        return cut
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """The piece, cut wherever two neighbouring bytes stand together in no token."""
-        row = np.frombuffer(piece, np.uint8)
-        ends = [0, *(np.flatnonzero(~self.bridged[row[:-1], row[1:]]) + 1).tolist(), len(piece)]
+        ends = [*np.flatnonzero(self._cuts(np.frombuffer(piece, np.uint8))).tolist(), len(piece)]
         return [piece[a:b] for a, b in itertools.pairwise(ends)]
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and result of each merge, the highest rank where there is none."""
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each merge, the highest rank where there is none."""
         wanted = left.astype(np.int64) << 32 | right
         at = np.searchsorted(self.keys, wanted)
-        return np.where(self.keys[at] == wanted, self.ranks[at], _NO_RANK), self.wholes[at]
-
-    def merge_rows(self, rows: np.ndarray) -> list[list[int]]:
-        """Ids of many fragments of one length, a row of bytes each: every round merges the best pair of each row."""
-        tokens, out = self.byte_ids[rows], [None] * len(rows)
-        owner = np.arange(len(rows))
-        rank, whole = self._pairs(tokens[:, :-1], tokens[:, 1:])
-        while len(owner):
-            lines = np.arange(len(owner))
-            at = rank.argmin(1) if rank.shape[1] else np.zeros(len(owner), np.int64)
-            go = rank[lines, at] < _NO_RANK if rank.shape[1] else np.zeros(len(owner), bool)
-            for k, found in zip(owner[~go].tolist(), tokens[~go].tolist(), strict=True):
-                out[k] = found
-            owner, at, tokens, rank, whole = owner[go], at[go], tokens[go], rank[go], whole[go]
-            if not len(owner):
-                break
-            lines, made = np.arange(len(owner)), whole[np.arange(len(owner)), at]
-            before = np.arange(tokens.shape[1] - 1) <= at[:, None]
-            tokens = np.where(before, tokens[:, :-1], tokens[:, 1:])
-            tokens[lines, at] = made
-            before = np.arange(rank.shape[1] - 1) < at[:, None]
-            rank, whole = (np.where(before, x[:, :-1], x[:, 1:]) for x in (rank, whole))
+        return np.where(self.keys[at] == wanted, self.ranks[at], _NO_RANK)
+
+    def merge_rows(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of many fragments of one length, a row of bytes each: every round merges the best pair of each row.
+
+        Rows come as they are done, together with those of as many ids: their places, and the ids of each.
+        """
+        owner, tokens = np.arange(len(rows)), self.byte_ids[rows]
+        rank = self.byte_ranks[rows[:, :-1], rows[:, 1:]]
+        while len(owner) and rank.shape[1]:
+            at = rank.argmin(1)
+            best = rank[np.arange(len(owner)), at]
+            go = best < _NO_RANK
+            if not go.all():
+                yield owner[~go], tokens[~go]
+                owner, at, best, tokens, rank = owner[go], at[go], best[go], tokens[go], rank[go]
+            place, at_row = np.arange(tokens.shape[1] - 1), at[:, None]
+            tokens = np.where(place <= at_row, tokens[:, :-1], tokens[:, 1:])
+            tokens[np.arange(len(owner)), at] = self.wholes[best]
+            rank = np.where(place[:-1] < at_row, rank[:, :-1], rank[:, 1:])
             for shift in (-1, 0):
                 k = at + shift
                 fits = np.flatnonzero((k >= 0) & (k < rank.shape[1]))
                 k = k[fits]
-                rank[fits, k], whole[fits, k] = self._pairs(tokens[fits, k], tokens[fits, k + 1])
-        return out
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode chunks not met before, all at once, and remember them."""
-        new = [c for c in chunks if len(c) <= LONGEST_KEPT and c not in self.kept]
-        if not new:
-            return
-        if len(self.kept) + len(new) > MOST_KEPT:
-            self.kept.clear()
-            new = [c for c in chunks if len(c) <= LONGEST_KEPT]
-        split = [self.pieces(c) for c in new]
-        pieces = list({p for s in split for p in s})
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        cut = np.ones(len(data), bool)  # a fragment begins here
-        cut[1:] = ~self.bridged[data[:-1], data[1:]]
-        begin_of = np.cumsum(size) - size
-        cut[begin_of] = True
+                rank[fits, k] = self._ranks(tokens[fits, k], tokens[fits, k + 1])
+        yield owner, tokens
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in order, and where those of each piece begin (and the last end)."""
+        data = np.frombuffer("".join(pieces).encode(), np.uint8)
+        letters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each character begins
+        ends = letters[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
+        cut = self._cuts(data)
+        cut[ends[:-1]] = True
         begins = np.flatnonzero(cut)
-        lengths = np.diff(np.append(begins, len(data)))
-        ids: list = [None] * len(begins)
+        lengths = np.diff(begins, append=len(data))
+        sizes, found = np.zeros(len(begins), np.int64), []
         for n in np.unique(lengths).tolist():
             of = np.flatnonzero(lengths == n)
-            for k, found in zip(of.tolist(), self.merge_rows(data[begins[of][:, None] + np.arange(n)]), strict=True):
-                ids[k] = found
-        first = np.searchsorted(begins, begin_of).tolist()
-        known = {
-            p: ids[a] if b - a == 1 else [i for part in ids[a:b] for i in part]
-            for p, a, b in zip(pieces, first, [*first[1:], len(begins)], strict=True)
-        }
-        for chunk, parts in zip(new, split, strict=True):
-            self.kept[chunk] = tuple(known[parts[0]] if len(parts) == 1 else [i for p in parts for i in known[p]])
+            if n > LONGEST_ROW:
+                found += [(of[k : k + 1], np.array([self.merge(data[a : a + n].tobytes())])) for k, a in enumerate(begins[of].tolist())]
+            else:
+                found += [(of[rows], ids) for rows, ids in self.merge_rows(data[begins[of][:, None] + np.arange(n)])]
+        for rows, ids in found:
+            sizes[rows] = ids.shape[1]
+        at = np.append(0, np.cumsum(sizes))
+        out = np.zeros(int(at[-1]), np.int32)
+        for rows, ids in found:
+            out[at[rows][:, None] + np.arange(ids.shape[1])] = ids
+        return out, at[np.append(0, np.searchsorted(begins, ends))]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encode chunks not met before, all at once, and put their ids behind the known ones."""
+        flat, first, count = self.pieces(chunks)
+        number = defaultdict(itertools.count().__next__)
+        piece = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))[_spread(first, count)]
+        ids, begins = self.encode_pieces(list(number))
+        sizes = np.diff(begins)[piece]
+        self.known = np.append(self.known, ids[_spread(begins[piece], sizes)])
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(count)]
+        self.begins = np.append(self.begins, self.begins[-1] + ends)
 
     def merge(self, fragment: bytes) -> list[int]:
         """Ids of a fragment: the neighbours of lowest rank merge first, the leftmost of equals."""
@@ -191,14 +220,6 @@ class Bpe:
                     heapq.heappush(queue, (*found, a, tokens[a], tokens[after[a]]))
         return [t for t in tokens if t >= 0]
 
-    def encode_chunk(self, chunk: str) -> tuple[int, ...]:
-        """Ids of a chunk; one that is not remembered is encoded piece by piece."""
-        found = self.kept.get(chunk)
-        if found is None:
-            pieces = self.pieces(chunk)
-            found = tuple(i for piece in pieces for part in self.fragments(piece) for i in self.merge(part))
-        return found
-
     def parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """The text in order, special tokens told apart with their id."""
         if not any(s in text for s in self.special):
@@ -209,32 +230,55 @@ class Bpe:
             if part:
                 yield part, self.special.get(part)
 
-    def split(self, text: str) -> list[tuple[list[str], int | None]]:
-        """Chunks of the text's parts, or the id of a special token."""
-        return [([part], i) if i is not None else (_CHUNK.findall(part), None) for part, i in self.parts(text)]
+    def chunks(self, text: str) -> list[str]:
+        """Chunks of the text in order, special tokens for themselves."""
+        if not any(s in text for s in self.special):
+            return _CHUNK.findall(text)
+        return [c for part, i in self.parts(text) for c in ([part] if i is not None else _CHUNK.findall(part))]
+
+    def encode_arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Chunks become numbers, and ids are taken by number."""
+        if not texts:
+            return []
+        if len(self.kept) > MOST_KEPT:
+            self._forget()
+        split = list(map(self.chunks, texts))
+        count = np.fromiter(map(len, split), np.int64, len(split))
+        before = len(self.kept)
+        at = np.fromiter(map(self.kept.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(count.sum()))
+        new = list(itertools.islice(reversed(self.kept), len(self.kept) - before))[::-1]
+        long = np.fromiter(map(len, new), np.int64, len(new)) > LONGEST_KEPT
+        if long.any():  # these take the last numbers, which are given anew after this batch
+            order = np.argsort(long, kind="stable")
+            place = np.append(np.arange(before), before + np.argsort(order))
+            at, new = place[at], [new[k] for k in order.tolist()]
+            for chunk in new:
+                del self.kept[chunk]
+            few = new[: len(new) - int(long.sum())]
+            self.kept.update(zip(few, itertools.count(before), strict=False))
+            self.kept.default_factory = itertools.count(len(self.kept)).__next__
+        self.learn(new)
+        begins = self.begins[at]
+        sizes = self.begins[at + 1] - begins
+        ids = self.known[_spread(begins, sizes)]
+        self.begins = self.begins[: len(self.kept) + 1]
+        self.known = self.known[: self.begins[-1]]
+        return np.split(ids, np.append(0, np.cumsum(sizes))[np.cumsum(count)][:-1])
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        split = [self.split(t) for t in texts]
-        self.learn({c for parts in split for chunks, i in parts if i is None for c in chunks})
-        out = []
-        for parts in split:
-            ids: list[int] = []
-            for chunks, special in parts:
-                if special is not None:
-                    ids.append(special)
-                else:
-                    found = list(map(self.kept.get, chunks))
-                    if not all(found):  # a chunk that is not kept, as it is too long
-                        found = [own or self.encode_chunk(chunk) for own, chunk in zip(found, chunks, strict=True)]
-                    ids.extend(itertools.chain.from_iterable(found))
-            out.append(ids)
-        return out
+        return list(map(np.ndarray.tolist, self.encode_arrays(texts)))
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0]
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", errors="replace")
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
+        return b"".join(self.token_objects[np.asarray(ids, np.int64)].tolist()).decode("utf-8", errors="replace")
+
+
+def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(begins - (ends - sizes), sizes)
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text") -> DataFrame:
@@ -245,10 +289,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, text_col: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.read(vocabulary)
         for batch in batches:
-            for lo in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(lo, TOGETHER)
+            for part in by_bytes(batch, text_col, TOGETHER_BYTES, TOGETHER):
                 texts = texts_of(part.column(text_col))
-                ids = bpe.encode_batch(texts)
+                ids = bpe.encode_arrays(texts)
                 same = [bpe.decode(i) == t for i, t in zip(ids, texts, strict=True)]
                 columns = [part.column(f.name) for f in rest]
                 yield pa.RecordBatch.from_arrays(
@@ -280,14 +323,14 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.read(vocabulary)
-        names = [str(i) for i in range(len(bpe.token_bytes))]
+        names = np.array([f",{i}" for i in range(len(bpe.token_bytes))], "S")
         sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
             rows = []
-            for lo in range(0, batch.num_rows, TOGETHER):
-                for ids in bpe.encode_batch(texts_of(batch.column("_text").slice(lo, TOGETHER))):
-                    text = ",".join(map(names.__getitem__, ids))
-                    rows.append((len(ids), sha(text.encode()), sha(bpe.decode(ids).encode())))
+            for part in by_bytes(batch, "_text", TOGETHER_BYTES, TOGETHER):
+                for ids in bpe.encode_arrays(texts_of(part.column("_text"))):
+                    text = names[ids].tobytes().translate(None, b"\0")[1:]  # shorter numbers are filled with zero bytes
+                    rows.append((len(ids), sha(text), sha(bpe.decode(ids).encode())))
             n, digest, decoded = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())],

@@ -18,15 +18,15 @@ repeated rows are counted each for itself; sections may be empty, and then hold
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brokerhouse.llm.bpe import TOGETHER, Bpe
-from brokerhouse.llm.common import texts_of, tidied
+from brokerhouse.llm.bpe import TOGETHER, TOGETHER_BYTES, Bpe
+from brokerhouse.llm.common import by_bytes, texts_of, tidied
 
 RULES = ("first", "most", "share")
 Sections = Callable[[str], list[tuple[int, int]]]
@@ -39,13 +39,13 @@ def lines(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _LINE.finditer(text)] or [(0, 0)]
 
 
-def token_spans(sizes: np.ndarray, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def token_spans(sizes: np.ndarray, text: str, ids: Sequence[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Character spans of all tokens of a text, in order; `sizes` has the number of bytes of each token."""
-    if not ids:
+    if not len(ids):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     data = np.frombuffer(text.encode(), np.uint8)
     owner = np.cumsum((data & 0xC0) != 0x80) - 1  # the character of each byte
-    lengths = sizes[np.fromiter(ids, np.int64, len(ids))]
+    lengths = sizes[np.asarray(ids, np.int64)]
     ends = np.cumsum(lengths)
     return owner[ends - lengths], owner[ends - 1] + 1
 
@@ -104,11 +104,10 @@ def section_tokens(
         bpe = Bpe.read(vocabulary)
         sizes = np.array(list(map(len, bpe.token_bytes)), np.int64)
         for batch in batches:
-            for k in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(k, TOGETHER)
+            for part in by_bytes(batch, "_text", TOGETHER_BYTES, TOGETHER):
                 owner, number, begin, end, tokens, crossing, whole = [], [], [], [], [], [], []
                 texts = texts_of(part.column("_text"))
-                for row, (text, ids) in enumerate(zip(texts, bpe.encode_batch(texts), strict=True)):
+                for row, (text, ids) in enumerate(zip(texts, bpe.encode_arrays(texts), strict=True)):
                     spans = sections(text)
                     begins, ends = token_spans(sizes, text, ids)
                     counts, over, rest = allocate(begins, ends, spans, rule)

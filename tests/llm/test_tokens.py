@@ -1,4 +1,5 @@
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -32,6 +33,42 @@ def test_ids_offsets_and_decoding_are_the_librarys(both):
         assert list(zip(*map(np.ndarray.tolist, token_spans(sizes, text, ids)), strict=True)) == expected.offsets
 
 
+def test_new_chunks_are_encoded_together(both):
+    """Python is not called for each new chunk: invented words would cost a call, a list and a tuple each."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abdeghiklmnorstuwé", k=rng.randrange(5, 9))) for _ in range(20_000)]
+    texts = [" ".join(words[k::100]) for k in range(100)]
+    own, calls = bpe.Bpe.read(PATH), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        found = own.encode_batch(texts)
+    finally:
+        sys.setprofile(None)
+    assert found == [e.ids for e in both[1].encode_batch(texts, add_special_tokens=False)]
+    assert calls < len(words) // 2
+
+
+def test_chunks_are_forgotten_and_long_ones_not_kept(both, monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_KEPT", 50)
+    monkeypatch.setattr(bpe, "LONGEST_ROW", 40)
+    rng = random.Random(4)
+    own, forgotten = bpe.Bpe.read(PATH), 0
+    parts = ["a" * 70, "日本語" * 30, "<|endoftext|>", "\n \n", "it's", "x1y2", " ", "\x85", "b" * 64, "c" * 65, "²½"]
+    for _ in range(40):
+        texts = ["".join(rng.choice([*parts, " ", f" w{rng.random()}"]) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(9))]
+        before = len(own.kept)
+        assert own.encode_batch(texts) == [e.ids for e in both[1].encode_batch(texts, add_special_tokens=False)]
+        forgotten += before > 50 and len(own.kept) < before
+        assert max(map(len, own.kept)) <= bpe.LONGEST_KEPT
+        assert list(own.kept.values()) == list(range(len(own.begins) - 1)) and own.begins[-1] == len(own.known)
+    assert forgotten
+
+
 token_spans = token_counts.token_spans
 
 
